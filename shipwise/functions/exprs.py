@@ -133,8 +133,10 @@ METADATA_BUCKETS = ["all_metadata_present", "partial", "all_metadata_missing", "
 
 
 def round_half_even(col: str | Column, digits: int) -> Column:
-    """Rounding as numpy does it (half to even)."""
-    return F.bround(_c(col), digits)
+    """Rounding as numpy does it (F19): ``rint(x * 10^d) / 10^d``, half to even
+    on the scaled binary value (``bround`` rounds the decimal text instead)."""
+    scale = float(10**digits)
+    return F.rint(_c(col) * F.lit(scale)) / F.lit(scale)
 
 
 def labelled(prefix: str, col: str | Column) -> Column:

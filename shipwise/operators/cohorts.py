@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..functions.exprs import round_half_even
 
 TARGET = "is_late"
 
@@ -54,7 +55,7 @@ def with_lift(
     """``lift_vs_base = late_rate / base rate`` (F20), rounded half-even when ``digits`` is set."""
     lift = F.col(rate) / F.col("_base_rate")
     if digits is not None:
-        lift = F.bround(lift, digits)
+        lift = round_half_even(lift, digits)
     return (
         with_scalar(groups, base_rate(dataset, target, "_base_rate"))
         .withColumn("lift_vs_base", lift)

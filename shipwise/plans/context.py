@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import round_half_even
 from ..operators.features import build_model_dataset
 from ..operators.order_frame import build_modeling_frame
 from ..sources.star import star_tables
@@ -52,8 +53,7 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            scale = float(10**digits)
-            cols.append((F.rint(F.col(f"`{f.name}`") * scale) / scale).alias(f.name))
+            cols.append(round_half_even(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
