@@ -219,9 +219,10 @@ def weighted_dispersion(df: DataFrame, rate: str = "late_rate", weight: str = "o
         (F.sum(F.col(rate) * F.col(weight)) / F.sum(weight)).alias("weighted_mean"),
         F.sum(weight).alias("_w"),
     )
+    dev = F.col(rate) - F.col("weighted_mean")
     spread = (
         df.crossJoin(F.broadcast(stats.select("weighted_mean", "_w")))
-        .agg(F.sum((F.col(rate) - F.col("weighted_mean")) ** 2 * F.col(weight) / F.col("_w")).alias("_var"))
+        .agg((F.sum(dev * dev * F.col(weight)) / F.first("_w")).alias("_var"))
     )
     return stats.drop("_w").crossJoin(spread).select(
         "min_rate", "max_rate", "weighted_mean", F.sqrt("_var").alias("weighted_std")
