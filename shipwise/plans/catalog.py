@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cohort_queries, frame_queries, metric_queries, ordering_queries, profile_queries  # noqa: F401
+from . import cohort_queries, frame_queries, metric_queries, ml_queries, ordering_queries, profile_queries  # noqa: F401
 from .registry import REGISTRY, runner
 
 
