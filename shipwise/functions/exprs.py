@@ -154,3 +154,15 @@ def json_sorted(mapping: dict) -> str:
 def key_label(cols: Sequence[str]) -> str:
     """Composite key label ``a + b``."""
     return " + ".join(cols)
+
+
+def attach_one_row(df, one_row):
+    """Attach the columns of a one-row global aggregate to every row.
+
+    A global aggregate returns exactly one row, so the broadcast side has a
+    proven size bound. The join is an equi-join on a constant key, not a
+    Cartesian product.
+    """
+    key = "_one_row_key"
+    right = F.broadcast(one_row.withColumn(key, F.lit(0)))
+    return df.withColumn(key, F.lit(0)).join(right, key).drop(key)

@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import attach_one_row
 from .preprocess import build_preprocessor
 
 LABEL = "is_late"
@@ -72,7 +73,7 @@ def with_class_weights(train: DataFrame, label: str = LABEL, weight: str = WEIGH
     w = F.when(
         F.col(label) == 1, F.col("_n") / (2 * F.col("_pos"))
     ).otherwise(F.col("_n") / (2 * (F.col("_n") - F.col("_pos"))))
-    return train.crossJoin(F.broadcast(counts)).withColumn(weight, w.cast("double")).drop("_n", "_pos")
+    return attach_one_row(train, counts).withColumn(weight, w.cast("double")).drop("_n", "_pos")
 
 
 @dataclass
@@ -148,7 +149,7 @@ def _validation_flag(train: DataFrame, fraction: float = 0.1, rank_col: str = "r
     """Latest ``fraction`` of the (time-ranked) training rows marked for early stopping."""
     bounds = train.agg(F.min(rank_col).alias("_lo"), F.max(rank_col).alias("_hi"))
     cut = F.col("_lo") + (F.col("_hi") - F.col("_lo") + 1) * (1 - fraction)
-    return train.crossJoin(F.broadcast(bounds)).withColumn("is_validation", F.col(rank_col) >= cut).drop("_lo", "_hi")
+    return attach_one_row(train, bounds).withColumn("is_validation", F.col(rank_col) >= cut).drop("_lo", "_hi")
 
 
 def fit_model(name: str, train: DataFrame, params: dict | None = None, seed: int = SEED) -> FittedModel:

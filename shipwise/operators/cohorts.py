@@ -3,7 +3,7 @@
 Every operator is a lazy aggregate. Group keys are low-cardinality (states,
 buckets, months), so map-side partial aggregation keeps the shuffles small even
 when one group holds a third of the rows. Scalars like the base rate stay in
-the plan as a one-row aggregate joined with ``crossJoin``. A global aggregate
+the plan as a one-row aggregate joined on a constant key. A global aggregate
 always returns exactly one row, so broadcasting it is bounded by construction.
 """
 
@@ -46,7 +46,7 @@ def base_rate(df: DataFrame, target: str = TARGET, name: str = "base_rate") -> D
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(one_row))
+    return X.attach_one_row(df, one_row)
 
 
 def with_lift(
@@ -221,10 +221,10 @@ def weighted_dispersion(df: DataFrame, rate: str = "late_rate", weight: str = "o
     )
     dev = F.col(rate) - F.col("weighted_mean")
     spread = (
-        df.crossJoin(F.broadcast(stats.select("weighted_mean", "_w")))
+        X.attach_one_row(df, stats.select("weighted_mean", "_w"))
         .agg((F.sum(dev * dev * F.col(weight)) / F.first("_w")).alias("_var"))
     )
-    return stats.drop("_w").crossJoin(spread).select(
+    return X.attach_one_row(stats.drop("_w"), spread).select(
         "min_rate", "max_rate", "weighted_mean", F.sqrt("_var").alias("weighted_std")
     )
 
@@ -260,9 +260,7 @@ def seller_volume_cohort_frame(dataset: DataFrame, order_items: DataFrame) -> Da
     primary = primary.join(vol, primary.primary_seller_id == vol.seller_id, "left").drop("seller_id")
     cohort = dataset.join(primary, "order_id", "left")
     # top edge is data dependent: max(1001, max volume + 1), a one-row aggregate
-    cohort = cohort.crossJoin(
-        F.broadcast(cohort.agg(F.greatest(F.lit(1001), F.max("seller_orders") + 1).alias("_top")))
-    )
+    cohort = X.attach_one_row(cohort, cohort.agg(F.greatest(F.lit(1001), F.max("seller_orders") + 1).alias("_top")))
     edges = [*SELLER_VOLUME_EDGES, F.col("_top")]
     return cohort.withColumn(
         "seller_volume_bucket", X.bucket_right_closed("seller_orders", edges, SELLER_VOLUME_LABELS)
@@ -295,4 +293,4 @@ def quantile_bucket(df: DataFrame, value: str, qs: Sequence[float], labels: Sequ
         lower = (v >= lo) if i == 0 else (v > lo)
         cond = lower & (v <= hi)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return df.crossJoin(F.broadcast(edges)).withColumn(out, expr).drop("_edges")
+    return X.attach_one_row(df, edges).withColumn(out, expr).drop("_edges")

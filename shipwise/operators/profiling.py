@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import key_label, round_half_even
+from ..functions.exprs import attach_one_row, key_label, round_half_even
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -99,8 +99,7 @@ def join_cardinality(
         F.coalesce(round_half_even(F.avg("_n"), 2), F.lit(0.0)).alias("mean_right_per_key"),
     )
     return (
-        left_rows.crossJoin(unmatched)
-        .crossJoin(right_stats)
+        attach_one_row(attach_one_row(left_rows, unmatched), right_stats)
         .select(
             F.lit(f"{left_name} -> {right_name}").alias("join"),
             F.lit(on).alias("on"),
@@ -158,7 +157,7 @@ def value_shares(df: DataFrame, col: str, count_name: str = "n_orders") -> DataF
     """Counts per value with null as its own row, and percent of all rows."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.crossJoin(F.broadcast(total)).select(
+    return attach_one_row(counts, total).select(
         col, count_name, round_half_even(F.col(count_name) / F.col("_total") * 100, 2).alias("share_pct")
     )
 
