@@ -159,10 +159,13 @@ def key_label(cols: Sequence[str]) -> str:
 def attach_one_row(df, one_row):
     """Attach the columns of a one-row global aggregate to every row.
 
-    A global aggregate returns exactly one row, so the broadcast side has a
-    proven size bound. The join is an equi-join on a constant key, not a
-    Cartesian product.
+    The aggregate becomes an uncorrelated scalar subquery: Spark evaluates it
+    once, before the main plan runs, and inlines the value. So there is no
+    join, no broadcast of data and no Cartesian product. All columns travel
+    in one struct, so the aggregate runs once.
     """
-    key = "_one_row_key"
-    right = F.broadcast(one_row.withColumn(key, F.lit(0)))
-    return df.withColumn(key, F.lit(0)).join(right, key).drop(key)
+    cols = list(one_row.columns)
+    packed = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("_one_row")).scalar()
+    return df.withColumn("_one_row", packed).withColumns(
+        {c: F.col("_one_row").getField(c) for c in cols}
+    ).drop("_one_row")

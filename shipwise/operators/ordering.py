@@ -75,26 +75,30 @@ def with_cells(
     buckets: int | None = None,
     rows_per_cell: int = DEFAULT_ROWS_PER_CELL,
     accuracy: int = 10_000,
-) -> DataFrame:
-    """Add ``_b1`` / ``_b2`` range cells (monotone in (lead, tie)) and the proxies."""
+) -> tuple[DataFrame, bool]:
+    """Add ``_b1`` / ``_b2`` range cells (monotone in (lead, tie)).
+
+    Returns (frame, single): ``single`` means the counted input fits one cell
+    (at most ``rows_per_cell`` rows) and no cell columns were added.
+    """
     df = df.withColumn("_k1", lead.cast("double"))
     if tie is not None:
         df = df.withColumn("_k2", tie.cast("double"))
     n = None if buckets else df.count()
     b = _bucket_count(n, buckets, rows_per_cell)
     if b <= 1:
-        return df.withColumn("_b1", F.lit(0.0)).withColumn("_b2", F.lit(0.0))
+        return df, True
     probs = [i / b for i in range(1, b)]
     q = df.agg(F.percentile_approx("_k1", probs, accuracy).alias("q")).first()["q"] or []
     splits, hot = _splits(q)
     out = _bucketize(df, "_k1", "_b1", splits)
     if tie is None or not hot:
-        return out.withColumn("_b2", F.lit(0.0))
+        return out.withColumn("_b2", F.lit(0.0)), False
     is_hot = F.col("_k1").isin(hot)
     q2 = out.where(is_hot).agg(F.percentile_approx("_k2", probs, accuracy).alias("q")).first()["q"] or []
     splits2, _ = _splits(q2)
     out = _bucketize(out.withColumn("_k2h", F.when(is_hot, F.col("_k2")).otherwise(F.lit(0.0))), "_k2h", "_b2", splits2)
-    return out.withColumn("_b2", F.when(is_hot, F.col("_b2")).otherwise(F.lit(0.0))).drop("_k2h")
+    return out.withColumn("_b2", F.when(is_hot, F.col("_b2")).otherwise(F.lit(0.0))).drop("_k2h"), False
 
 
 def prefix_sums(
@@ -117,19 +121,22 @@ def prefix_sums(
     part = list(partition)
     names = list(values)
     src = df.withColumns({f"_v_{k}": v for k, v in values.items()})
-    cells = with_cells(src, lead, tie, buckets, rows_per_cell)
-    cell_keys = [*part, "_b1", "_b2"]
-    totals = cells.groupBy(*cell_keys).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in names])
-    w_cells = Window.partitionBy(*part).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *cell_keys, *[F.coalesce(F.sum(f"_t_{k}").over(w_cells), F.lit(0)).alias(f"_o_{k}") for k in names]
-    )
-    w_in = Window.partitionBy(*cell_keys).orderBy(*order)
-    w_in = w_in.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = cells.join(offsets, cell_keys, "left")
-    out = joined.withColumns(
-        {f"cum_{k}": F.col(f"_o_{k}") + F.coalesce(F.sum(f"_v_{k}").over(w_in), F.lit(0)) for k in names}
-    )
+    cells, single = with_cells(src, lead, tie, buckets, rows_per_cell)
+    frame = Window.unboundedPreceding, (0 if inclusive else -1)
+    if single:
+        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(*frame)
+        out = cells.withColumns({f"cum_{k}": F.coalesce(F.sum(f"_v_{k}").over(w), F.lit(0)) for k in names})
+    else:
+        cell_keys = [*part, "_b1", "_b2"]
+        totals = cells.groupBy(*cell_keys).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in names])
+        w_cells = Window.partitionBy(*part).orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(
+            *cell_keys, *[F.coalesce(F.sum(f"_t_{k}").over(w_cells), F.lit(0)).alias(f"_o_{k}") for k in names]
+        )
+        w_in = Window.partitionBy(*cell_keys).orderBy(*order).rowsBetween(*frame)
+        out = cells.join(offsets, cell_keys, "left").withColumns(
+            {f"cum_{k}": F.col(f"_o_{k}") + F.coalesce(F.sum(f"_v_{k}").over(w_in), F.lit(0)) for k in names}
+        )
     drop = [c for c in out.columns if c.startswith(("_v_", "_o_", "_t_")) or c in ("_k1", "_k2", "_b1", "_b2")]
     return out.drop(*drop)
 
