@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions.exprs import round_half_even
+from .quantiles import percentile_columns
 
 TARGET = "is_late"
 
@@ -117,41 +118,29 @@ def weekday_rates(spark: SparkSession, dataset: DataFrame) -> DataFrame:
 
 
 def window_quantiles(dataset: DataFrame, key: str, value: str = "estimated_delivery_days") -> DataFrame:
-    """Exact (interpolated) p25 / median / p75 per group."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (
-        dataset.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("orders"), q.alias("_q"))
-        .select(
-            key,
-            "orders",
-            F.col("_q")[1].alias("median_window"),
-            F.col("_q")[0].alias("p25"),
-            F.col("_q")[2].alias("p75"),
-        )
-    )
+    """Exact (interpolated) p25 / median / p75 per group (A9), distributed (see ``quantiles``)."""
+    counts = dataset.groupBy(key).agg(F.count(F.lit(1)).alias("orders"))
+    q = percentile_columns(dataset, value, {"median_window": 0.5, "p25": 0.25, "p75": 0.75}, [key])
+    return counts.join(q, key, "left").select(key, "orders", "median_window", "p25", "p75")
 
 
 def box_stats(dataset: DataFrame, value: str, by: str = TARGET) -> DataFrame:
     """Box-plot numbers per class (A20): quartiles, 1.5 IQR whiskers, outlier count.
 
-    Two aggregations: quartiles per class, then whiskers and outliers after a
-    join of the (tiny) quartile table back to the rows.
+    Exact quartiles per class, then whiskers and outliers after joining the
+    (one row per class) quartile table back to the rows.
     """
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    rows = dataset.where(F.col(value).isNotNull())
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     quart = (
-        dataset.where(F.col(value).isNotNull())
-        .groupBy(by)
-        .agg(q.alias("_q"), F.count(F.lit(1)).alias("n"))
-        .select(by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+        counts.join(percentile_columns(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]), by)
         .withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
         .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     )
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
     stats = (
-        dataset.where(v.isNotNull())
-        .select(by, value)
+        rows.select(by, value)
         .join(quart.select(by, "_lo", "_hi"), by)
         .groupBy(by)
         .agg(
@@ -275,7 +264,9 @@ def bucket_cohort(df: DataFrame, bucket: str, labels: Sequence[str], extra: Sequ
 
 def quantile_edges(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantile edges as a one-row array column."""
-    return df.agg(F.percentile(value, F.array(*[F.lit(q) for q in qs])).alias("_edges"))
+    named = {f"_e{i}": q for i, q in enumerate(qs)}
+    one = percentile_columns(df, value, named)
+    return one.select(F.array(*[F.col(n) for n in named]).alias("_edges"))
 
 
 def quantile_bucket(df: DataFrame, value: str, qs: Sequence[float], labels: Sequence[str], out: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import cohorts as C
+from ..operators.quantiles import percentile_columns
 from .context import MIN_COHORT_ORDERS, MIN_CORRIDOR_ORDERS, MIN_MONTH_ORDERS, MIN_WEEK_ORDERS, Ctx
 from .oracle import mode_cte, statement
 from .registry import query
@@ -369,13 +370,9 @@ JOIN weight_medians m ON b.weight_bucket = m.weight_bucket""",
 def weight_quintile_cohort(ctx: Ctx):
     weight = ctx.dataset.dropna(subset=["avg_product_weight_g"])
     cohort = C.quantile_bucket(weight, "avg_product_weight_g", C.WEIGHT_QUANTILES, C.WEIGHT_LABELS, "weight_bucket")
-    stats = C.bucket_cohort(
-        cohort,
-        "weight_bucket",
-        C.WEIGHT_LABELS,
-        extra=[F.percentile("avg_product_weight_g", 0.5).alias("median_weight_g")],
-    )
-    return C.with_lift(stats, ctx.dataset)
+    stats = C.bucket_cohort(cohort, "weight_bucket", C.WEIGHT_LABELS)
+    medians = percentile_columns(cohort, "avg_product_weight_g", {"median_weight_g": 0.5}, ["weight_bucket"])
+    return C.with_lift(stats.join(medians, "weight_bucket", "left"), ctx.dataset)
 
 
 CATEGORY_CTE = f"""{mode_cte("v_primary_cat", "SELECT order_id, product_category_name FROM v_items_x", "order_id",

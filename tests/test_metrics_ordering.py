@@ -78,3 +78,18 @@ def test_tuning_summary_ranks_flags_and_serialises(spark):
     first = summarize_tuning_results("random_forest", cv).first()
     assert first["cv_rank"] == 1 and first["selected"] is True
     assert first["params"] == '{"model__max_depth": 12}'
+
+
+def test_exact_percentiles_match_builtin_under_skew(spark):
+    from shipwise.operators.quantiles import exact_percentiles
+
+    df = spark.range(3000).select(
+        (F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 4 == 0, F.lit(7.0)).otherwise((F.col("id") * 37 % 1001) / 10.0).alias("x"),
+    )
+    qs = [0.0, 0.2, 0.25, 0.5, 0.75, 1.0]
+    got = {(r["g"], r["q"]): r["val"] for r in exact_percentiles(df, "x", qs, ["g"], buckets=8).collect()}
+    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(q) for q in qs])).alias("v")).collect()
+    for r in ref:
+        for q, v in zip(qs, r["v"]):
+            assert got[(r["g"], q)] == v
