@@ -16,6 +16,7 @@ import itertools
 import random
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -157,14 +158,23 @@ def fit_model(name: str, train: DataFrame, params: dict | None = None, seed: int
     params = dict(DEFAULTS.get(name, {}), **(params or {}))
     if name == "dummy_baseline":
         return FittedModel(name, {}, fit_prior(train))
+    if name not in ("random_forest", "hist_gradient_boosting"):
+        raise ValueError(f"unknown model {name!r}")
     weighted = with_class_weights(train)
     if name == "random_forest":
-        pipe = Pipeline(stages=[*build_preprocessor("onehot").getStages(), forest_estimator(params, seed)])
-        return FittedModel(name, params, pipe.fit(weighted), margin_from_raw=False)
-    if name == "hist_gradient_boosting":
+        stages = [*build_preprocessor("onehot").getStages(), forest_estimator(params, seed)]
+        data, raw = weighted, False
+    else:
         has_rank = "rank" in train.columns
         data = _validation_flag(weighted) if has_rank else weighted
-        est = booster_estimator(params, seed, "is_validation" if has_rank else None)
-        pipe = Pipeline(stages=[*build_preprocessor("ordinal").getStages(), est])
-        return FittedModel(name, params, pipe.fit(data), margin_from_raw=True)
-    raise ValueError(f"unknown model {name!r}")
+        stages = [*build_preprocessor("ordinal").getStages(),
+                  booster_estimator(params, seed, "is_validation" if has_rank else None)]
+        raw = True
+    # imputers, indexers and the learner each scan the training rows: keep
+    # them once (memory, spilling to disk) for the duration of the fit
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
+    return FittedModel(name, params, model, margin_from_raw=raw)

@@ -75,6 +75,7 @@ def with_cells(
     buckets: int | None = None,
     rows_per_cell: int = DEFAULT_ROWS_PER_CELL,
     accuracy: int = 10_000,
+    n_rows: int | None = None,
 ) -> tuple[DataFrame, bool]:
     """Add ``_b1`` / ``_b2`` range cells (monotone in (lead, tie)).
 
@@ -84,7 +85,7 @@ def with_cells(
     df = df.withColumn("_k1", lead.cast("double"))
     if tie is not None:
         df = df.withColumn("_k2", tie.cast("double"))
-    n = None if buckets else df.count()
+    n = None if buckets else (n_rows if n_rows is not None else df.count())
     b = _bucket_count(n, buckets, rows_per_cell)
     if b <= 1:
         return df, True
@@ -111,6 +112,7 @@ def prefix_sums(
     inclusive: bool = True,
     buckets: int | None = None,
     rows_per_cell: int = DEFAULT_ROWS_PER_CELL,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Running sums of ``values`` in the total order ``order`` (per ``partition``).
 
@@ -121,7 +123,7 @@ def prefix_sums(
     part = list(partition)
     names = list(values)
     src = df.withColumns({f"_v_{k}": v for k, v in values.items()})
-    cells, single = with_cells(src, lead, tie, buckets, rows_per_cell)
+    cells, single = with_cells(src, lead, tie, buckets, rows_per_cell, n_rows=n_rows)
     frame = Window.unboundedPreceding, (0 if inclusive else -1)
     if single:
         w = Window.partitionBy(*part).orderBy(*order).rowsBetween(*frame)
@@ -148,6 +150,7 @@ def exact_rank(
     partition: Sequence[str] = (),
     rank_col: str = "rank",
     buckets: int | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """0-based position by (``ts``, ``key``) ascending, optionally per partition."""
     out = prefix_sums(
@@ -159,6 +162,7 @@ def exact_rank(
         tie=F.col(key),
         inclusive=False,
         buckets=buckets,
+        n_rows=n_rows,
     )
     return out.withColumnRenamed("cum__one", rank_col)
 
@@ -180,7 +184,7 @@ def chronological_split(
     """Dataset with ``rank`` and ``is_test`` (W2). Ties on time are ordered by key."""
     n = dataset.count()
     cut = split_cut(n, test_fraction)
-    ranked = exact_rank(dataset, ts, key, buckets=buckets)
+    ranked = exact_rank(dataset, ts, key, buckets=buckets, n_rows=n)
     return ranked.withColumn("is_test", F.col("rank") >= F.lit(cut))
 
 

@@ -14,7 +14,7 @@ from ..ml import models as MD
 from ..ml.calibration import calibration_summary as calib_op
 from ..ml.calibration import fit_calibrated
 from ..ml.importance import permutation_importance as perm_op
-from ..ml.job import JobConfig, run_training, scored_for_metrics
+from ..ml.job import JobConfig, materialize, run_training, scored_for_metrics
 from ..ml.preprocess import OrdinalMapper, build_preprocessor, median_table, mode_table, one_hot_stages
 from ..ml.preprocess import ModeImputer
 from ..ml.tuning import min_rank, tune_model
@@ -35,7 +35,9 @@ SMALL_BOOSTER = {"model__max_iter": 15, "model__learning_rate": 0.1, "model__max
 
 
 def _split(ctx: Ctx):
-    ranked = O.chronological_split(ctx.dataset, TEST_FRACTION)
+    """Train / test sides of the chronological split, checkpointed once into
+    the shared checkpoint folder (model fits scan them many times)."""
+    ranked = materialize(O.chronological_split(ctx.dataset, TEST_FRACTION))
     return ranked.where(~F.col("is_test")), ranked.where(F.col("is_test"))
 
 

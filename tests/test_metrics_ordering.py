@@ -93,3 +93,13 @@ def test_exact_percentiles_match_builtin_under_skew(spark):
     for r in ref:
         for q, v in zip(qs, r["v"]):
             assert got[(r["g"], q)] == v
+
+
+def test_exact_percentile_paths_agree(spark):
+    from shipwise.operators.quantiles import exact_percentiles
+
+    df = spark.range(2000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 13) % 97 / 7.0).alias("x"))
+    qs = [0.1, 0.5, 0.9]
+    a = sorted((r["g"], r["q"], r["val"]) for r in exact_percentiles(df, "x", qs, ["g"]).collect())
+    b = sorted((r["g"], r["q"], r["val"]) for r in exact_percentiles(df, "x", qs, ["g"], buckets=4).collect())
+    assert a == b and len(a) == 6
