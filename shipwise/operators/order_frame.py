@@ -9,8 +9,9 @@ Plan shape (what ``explain`` shows):
 * one ``groupBy('order_id')`` computes the item, product and seller aggregates
   together, so items are shuffled once for the whole frame.
 * payments get their own ``groupBy('order_id')``.
-* the aggregates arrive hash-partitioned by ``order_id`` and are joined to
-  orders without another exchange on their side.
+* customers join the narrow order rows first; the aggregates arrive
+  hash-partitioned by ``order_id`` and join without another exchange on
+  their side, so the wide frame is never shuffled.
 """
 
 from __future__ import annotations
@@ -167,10 +168,14 @@ def build_modeling_frame(tables: dict[str, DataFrame]) -> DataFrame:
     customers = tables["customers"].select("customer_id", "customer_city", "customer_state")
     lines = order_line_aggregates(tables["order_items"], tables["products"], tables["sellers"])
     payments = payment_aggregates(tables["order_payments"])
+    # customers first, on the narrow order rows: if customers are too large to
+    # broadcast, only these narrow rows are shuffled by customer_id; the wide
+    # aggregate columns join afterwards on order_id, where the aggregates are
+    # already hash-partitioned.
     frame = (
-        orders.join(lines, "order_id", "left")
+        orders.join(customers, "customer_id", "left")
+        .join(lines, "order_id", "left")
         .join(payments, "order_id", "left")
-        .join(customers, "customer_id", "left")
     )
     ordered = list(orders.columns) + ["customer_city", "customer_state"] + ITEM_AGG_COLUMNS + PAYMENT_AGG_COLUMNS
     ordered += PRODUCT_AGG_COLUMNS + SELLER_AGG_COLUMNS
