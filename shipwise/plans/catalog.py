@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cohort_queries, frame_queries, metric_queries, ml_queries, ordering_queries, profile_queries  # noqa: F401
+from . import (  # noqa: F401
+    cohort_queries,
+    frame_queries,
+    metric_queries,
+    ml_queries,
+    ordering_queries,
+    profile_queries,
+    source_queries,
+)
 from .registry import REGISTRY, runner
 
 
