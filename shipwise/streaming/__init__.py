@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming input, event-time windows, watermarks or state
+(its "late" is a business label on delivered orders), so there is nothing to
+re-express with Structured Streaming. Every operator in ``shipwise`` is a plain
+DataFrame transformation. Batch-only steps are the R1 rank, exact percentiles
+and model fits: they need bounded driver-side cut points or complete
+training data.
+"""
