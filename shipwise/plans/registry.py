@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import configure
 from .context import Ctx, rounded
 
 
@@ -34,6 +35,7 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     reg = REGISTRY[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
         return rounded(reg.build(Ctx(spark, sf_dir)))
 
     run.__name__ = name
