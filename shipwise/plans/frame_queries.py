@@ -8,7 +8,7 @@ from ..operators import cohorts as C
 from ..operators import order_frame as OF
 from ..operators.features import DATASET_COLUMNS
 from .context import Ctx
-from .oracle import DATASET_COLUMNS_DOUBLE, ITEMS_ENRICHED, mode_cte, statement
+from .oracle import DATASET_COLUMNS_DOUBLE, mode_cte, statement
 from .registry import query
 
 # ---------------------------------------------------------------- step 1
@@ -187,5 +187,3 @@ FROM dataset GROUP BY seller_customer_same_state""",
 def same_state_flag(ctx: Ctx):
     return C.rate_by(ctx.dataset, "seller_customer_same_state")
 
-
-__all__ = ["ITEMS_ENRICHED"]

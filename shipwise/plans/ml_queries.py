@@ -15,10 +15,8 @@ from ..ml.calibration import calibration_summary as calib_op
 from ..ml.calibration import fit_calibrated
 from ..ml.importance import permutation_importance as perm_op
 from ..ml.job import JobConfig, materialize, run_training, scored_for_metrics
-from ..ml.preprocess import OrdinalMapper, build_preprocessor, median_table, mode_table, one_hot_stages
-from ..ml.preprocess import ModeImputer
+from ..ml.preprocess import ModeImputer, OrdinalMapper, median_table, mode_table, one_hot_stages
 from ..ml.tuning import min_rank, tune_model
-from ..operators import cohorts as C
 from ..operators import ordering as O
 from ..operators.features import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 from ..operators.metrics import metric_bundle
@@ -228,5 +226,3 @@ def min_rank_selection(ctx: Ctx):
     ranked = min_rank(_category_stats(ctx).select("primary_category", "orders", "late_rate"), "late_rate")
     return ranked.withColumn("selected", F.col("rank") == 1)
 
-
-__all__ = ["C", "build_preprocessor"]

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import round_half_even
+
 REPORT_NAMES = ["training_summary", "feature_importance", "error_analysis", "tuning_summary", "calibration_summary"]
 
 
@@ -41,7 +43,7 @@ def save_reports(out_dir: str, reports: dict[str, DataFrame | None]) -> list[str
 def top_rows(df: DataFrame, n: int = 10, digits: int = 4) -> DataFrame:
     """Console view: first ``n`` rows with doubles rounded."""
     cols = [
-        F.bround(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        round_half_even(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields
     ]
     return df.select(*cols).limit(n)
