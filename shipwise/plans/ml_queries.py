@@ -14,7 +14,8 @@ from ..ml import models as MD
 from ..ml.calibration import calibration_summary as calib_op
 from ..ml.calibration import fit_calibrated
 from ..ml.importance import permutation_importance as perm_op
-from ..ml.job import JobConfig, materialize, run_training, scored_for_metrics
+from ..ml.job import JobConfig, run_training, scored_for_metrics
+from ..session import materialize
 from ..ml.preprocess import ModeImputer, OrdinalMapper, median_table, mode_table, one_hot_stages
 from ..ml.tuning import min_rank, tune_model
 from ..operators import ordering as O
@@ -167,7 +168,7 @@ def gbt_scores(ctx: Ctx):
 def tuning_summary(ctx: Ctx):
     train, _ = _split(ctx)
     n_train = train.count()
-    fixed = {"model__n_estimators": 20}
+    fixed = {"model__n_estimators": 20, "model__max_depth": 8}
     _, summary = tune_model(
         ctx.spark, "random_forest", train, n_train, MD.FOREST_SPACE, n_iter=2, n_splits=2, fixed=fixed
     )
@@ -197,7 +198,7 @@ def model_comparison(ctx: Ctx):
     for name, params in (("dummy_baseline", {}), ("random_forest", SMALL_FOREST),
                          ("hist_gradient_boosting", SMALL_BOOSTER)):
         fitted = MD.fit_model(name, train, params)
-        m = metric_bundle(scored_for_metrics(fitted, test)).select(F.lit(name).alias("model"), "*")
+        m = metric_bundle(materialize(scored_for_metrics(fitted, test))).select(F.lit(name).alias("model"), "*")
         rows = m if rows is None else rows.unionByName(m)
     return rows
 

@@ -46,6 +46,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: ``checkpoint`` into the shared
+    checkpoint folder (never ``localCheckpoint``), so a lost executor does
+    not force a recompute from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "shipwise") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
