@@ -33,10 +33,13 @@ SMALL_BOOSTER = {"model__max_iter": 15, "model__learning_rate": 0.1, "model__max
                  "model__min_samples_leaf": 20}
 
 
-def _split(ctx: Ctx):
-    """Train / test sides of the chronological split, checkpointed once into
-    the shared checkpoint folder (model fits scan them many times)."""
-    ranked = materialize(O.chronological_split(ctx.dataset, TEST_FRACTION))
+def _split(ctx: Ctx, for_fitting: bool = False):
+    """Train / test sides of the chronological split. For model fits, which
+    scan them many times, the ranked rows are checkpointed once into the shared
+    checkpoint folder; one-pass queries keep the plan lazy."""
+    ranked = O.chronological_split(ctx.dataset, TEST_FRACTION)
+    if for_fitting:
+        ranked = materialize(ranked)
     return ranked.where(~F.col("is_test")), ranked.where(F.col("is_test"))
 
 
@@ -54,7 +57,7 @@ num_long AS (UNPIVOT (SELECT {NUM_UNPIVOT} FROM train) ON {", ".join(NUMERIC_FEA
 
 @query("median_impute", statement('SELECT "column", val AS median FROM med', ["median"], ctes=MEDIAN_CTE))
 def median_impute(ctx: Ctx):
-    train, _ = _split(ctx)
+    train, _ = _split(ctx, for_fitting=True)
     return median_table(train, NUMERIC_FEATURES)
 
 
@@ -88,7 +91,7 @@ def _code_sql(col: str) -> str:
     ),
 )
 def ordinal_encode(ctx: Ctx):
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     imputer = ModeImputer(CATEGORICAL_FEATURES).fit(train)
     mapper = OrdinalMapper(CATEGORICAL_FEATURES).fit(imputer.transform(train))
     return mapper.transform(imputer.transform(test)).select("order_id", *[f"{c}_ord" for c in CATEGORICAL_FEATURES])
@@ -110,7 +113,7 @@ def ordinal_encode(ctx: Ctx):
 def one_hot_encode(ctx: Ctx):
     from pyspark.ml import Pipeline
 
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     pipe = Pipeline(stages=[ModeImputer(CATEGORICAL_FEATURES), *one_hot_stages()]).fit(train)
     out = pipe.transform(test)
     cols = []
@@ -152,13 +155,13 @@ def prior_baseline(ctx: Ctx):
 
 @query("random_forest_scores")
 def random_forest_scores(ctx: Ctx):
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     return MD.fit_model("random_forest", train, SMALL_FOREST).score(test).select("order_id", "is_late", "p")
 
 
 @query("gbt_scores")
 def gbt_scores(ctx: Ctx):
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     return MD.fit_model("hist_gradient_boosting", train, SMALL_BOOSTER).score(test).select(
         "order_id", "is_late", "p"
     )
@@ -166,7 +169,7 @@ def gbt_scores(ctx: Ctx):
 
 @query("tuning_summary")
 def tuning_summary(ctx: Ctx):
-    train, _ = _split(ctx)
+    train, _ = _split(ctx, for_fitting=True)
     n_train = train.count()
     fixed = {"model__n_estimators": 20, "model__max_depth": 8}
     _, summary = tune_model(
@@ -177,7 +180,7 @@ def tuning_summary(ctx: Ctx):
 
 @query("calibration_summary")
 def calibration_summary(ctx: Ctx):
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     n_train = train.count()
     fitted = MD.fit_model("hist_gradient_boosting", train, SMALL_BOOSTER)
     ens = fit_calibrated("hist_gradient_boosting", SMALL_BOOSTER, train, n_train, n_splits=2)
@@ -186,14 +189,14 @@ def calibration_summary(ctx: Ctx):
 
 @query("permutation_importance")
 def permutation_importance(ctx: Ctx):
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     fitted = MD.fit_model("random_forest", train, SMALL_FOREST)
     return perm_op(fitted, test, FEATURES, repeats=2)
 
 
 @query("model_comparison")
 def model_comparison(ctx: Ctx):
-    train, test = _split(ctx)
+    train, test = _split(ctx, for_fitting=True)
     rows = None
     for name, params in (("dummy_baseline", {}), ("random_forest", SMALL_FOREST),
                          ("hist_gradient_boosting", SMALL_BOOSTER)):

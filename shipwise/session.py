@@ -47,11 +47,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once and cut its lineage: ``checkpoint`` into the shared
-    checkpoint folder (never ``localCheckpoint``), so a lost executor does
-    not force a recompute from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and cut its lineage.
+
+    The rows are written as a parquet table into the cluster's shared
+    checkpoint folder (``spark.checkpoint.dir``; never ``localCheckpoint`` and
+    never a machine-local folder on a cluster) and read back. A lost executor
+    then re-reads files instead of recomputing from the sources. Unlike
+    ``checkpoint(eager=True)`` on an uncached plan, the input is computed once.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "shipwise") -> SparkSession:
