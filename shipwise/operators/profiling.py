@@ -61,17 +61,21 @@ def dependency_violations(df: DataFrame, key: str, value: str) -> DataFrame:
     return per_key.agg(F.count(F.when(F.col("_d") > 1, 1)).cast("long").alias("count"))
 
 
+# Check labels of the consistency report.
+DEPENDENCY_CHECKS = [
+    ("orders with >1 customer_id", "order_id", "customer_id"),
+    ("orders with >1 order_status", "order_id", "order_status"),
+]
+DUPLICATE_CHECK_TABLES = ["orders", "order_items", "order_payments"]
+
+
 def consistency_report(orders: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """The reference's duplicate and dependency checks as one report."""
+    """Duplicate and functional-dependency checks as one report."""
     rows = [
-        dependency_violations(orders, "order_id", "customer_id").select(
-            F.lit("orders with >1 customer_id").alias("check"), "count"
-        ),
-        dependency_violations(orders, "order_id", "order_status").select(
-            F.lit("orders with >1 order_status").alias("check"), "count"
-        ),
+        dependency_violations(orders, key, value).select(F.lit(label).alias("check"), "count")
+        for label, key, value in DEPENDENCY_CHECKS
     ]
-    for name in ("orders", "order_items", "order_payments"):
+    for name in DUPLICATE_CHECK_TABLES:
         rows.append(
             exact_duplicate_count(tables[name]).select(F.lit(f"exact duplicate rows in {name}").alias("check"), "count")
         )
