@@ -60,9 +60,30 @@ def materialize(df):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
 
 
+_MATERIALIZED: list[str] = []
+
+
+def release_materialized(spark: SparkSession) -> int:
+    """Delete the tables written by ``materialize`` in this driver process.
+
+    Call it once the results that read them have been written out.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _MATERIALIZED:
+        path = jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            removed += 1
+    return removed
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "shipwise") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
