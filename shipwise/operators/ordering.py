@@ -28,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 # Rows per cell the per-cell window sorts (spilling if needed); 65,536 cells
@@ -45,6 +46,27 @@ def ts_micros(col: str | Column) -> Column:
     )
 
 
+def sort_proxy(df: DataFrame, name: str) -> Column:
+    """A double that never decreases along the column's own sort order (R1 cut points).
+
+    Timestamps become epoch micros, dates days, numbers themselves. Strings
+    become their first 6 bytes, right-padded, as a 48-bit number, which
+    follows Spark's binary string order. Equal proxies only put rows in the
+    same range; the exact order comes from the real column inside a cell.
+    """
+    dt = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return ts_micros(c)
+    if isinstance(dt, T.DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(dt, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(c, 1, 6)), 12, "0"), 16, 10).cast("double")
+    if isinstance(dt, T.BooleanType):
+        return c.cast("int").cast("double")
+    return c.cast("double")
+
+
 def _splits(values: Sequence[float]) -> tuple[list[float], list[float]]:
     """Bucketizer splits from approximate quantiles; returns (splits, hot values).
 
@@ -157,14 +179,17 @@ def exact_rank(
     buckets: int | None = None,
     n_rows: int | None = None,
 ) -> DataFrame:
-    """0-based position by (``ts``, ``key``) ascending, optionally per partition."""
+    """0-based position by (``ts``, ``key``) ascending, optionally per partition.
+
+    Keys must be non-null (the model dataset guarantees it for the timestamp).
+    """
     out = prefix_sums(
         df,
         [F.col(ts).asc(), F.col(key).asc()],
-        lead=ts_micros(ts),
+        lead=sort_proxy(df, ts),
         values={"_one": F.lit(1).cast("long")},
         partition=partition,
-        tie=F.col(key),
+        tie=sort_proxy(df, key),
         inclusive=False,
         buckets=buckets,
         n_rows=n_rows,
@@ -250,7 +275,7 @@ def stratified_holdout(
         lead=F.conv(F.substring("_h", 1, 13), 16, 10).cast("double"),
         values={"_one": F.lit(1).cast("long")},
         partition=[label],
-        tie=F.col(key),
+        tie=sort_proxy(src, key),
         inclusive=False,
         buckets=buckets,
     ).withColumnRenamed("cum__one", "_r")

@@ -103,3 +103,20 @@ def test_exact_percentile_paths_agree(spark):
     a = sorted((r["g"], r["q"], r["val"]) for r in exact_percentiles(df, "x", qs, ["g"]).collect())
     b = sorted((r["g"], r["q"], r["val"]) for r in exact_percentiles(df, "x", qs, ["g"], buckets=4).collect())
     assert a == b and len(a) == 6
+
+
+def test_exact_rank_and_precision_at_k_with_string_ids(spark):
+    df = spark.range(3000).select(
+        F.sha1(F.col("id").cast("string")).alias("order_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("2018-01-01 00:00:00").cast("timestamp_ntz"))
+        .otherwise(F.timestamp_seconds(F.lit(1514764800) + F.col("id") % 700).cast("timestamp_ntz")).alias("ts"),
+        (F.col("id") % 3 == 0).cast("int").alias("y"),
+        (F.col("id") % 10 / 10.0).alias("p"),
+    )
+    r = O.exact_rank(df, "ts", "order_id", buckets=8)
+    ref = df.withColumn("ref", F.row_number().over(Window.orderBy("ts", "order_id")) - 1)
+    assert r.join(ref, "order_id").where(F.col("rank") != F.col("ref")).count() == 0
+    s = df.withColumnRenamed("order_id", "id")
+    got = M.precision_at_k(s, 700, buckets=8).first()[0]
+    top = s.orderBy(F.desc("p"), F.asc("id")).limit(700).agg(F.avg("y")).first()[0]
+    assert got == pytest.approx(top)
