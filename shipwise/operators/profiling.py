@@ -154,7 +154,9 @@ def missingness(df: DataFrame, table: str) -> DataFrame:
 
 
 def missingness_report(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([missingness(df, name) for name, df in tables.items()])
+    """All tables' missingness rows, sorted by table, then percent descending (T5)."""
+    report = _union([missingness(df, name) for name, df in tables.items()])
+    return report.orderBy(F.asc("table"), F.desc_nulls_last("missing_pct"), F.asc("column"))
 
 
 def value_shares(df: DataFrame, col: str, count_name: str = "n_orders") -> DataFrame:

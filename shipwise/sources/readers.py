@@ -58,3 +58,13 @@ def load_tables(spark: SparkSession, data_dir: str, fmt: str = "csv") -> dict[st
 
 def table_schema(name: str) -> T.StructType:
     return SPECS_BY_NAME[name].schema
+
+
+def register_views(tables: dict[str, DataFrame], extra: dict[str, DataFrame] | None = None) -> list[str]:
+    """Register the catalog (and e.g. the order frame / model dataset) as temp
+    views, so the same lazy plans are reachable from ``spark.sql``."""
+    names = []
+    for name, df in {**tables, **(extra or {})}.items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names

@@ -80,3 +80,16 @@ def test_chronological_split_keeps_time_order(tables):
     assert len(train) == 2 and len(test) == 1
     assert max(r["order_purchase_timestamp"] for r in train) <= min(r["order_purchase_timestamp"] for r in test)
     assert test[0]["order_id"] == "order_3"
+
+
+def test_sql_route_over_registered_views(spark, tables):
+    from shipwise.sources.readers import register_views
+
+    dataset = build_model_dataset(build_modeling_frame(tables))
+    register_views(tables, {"model_dataset": dataset})
+    rows = spark.sql(
+        "SELECT customer_state, COUNT(*) AS orders, AVG(is_late) AS late_rate FROM model_dataset "
+        "WHERE customer_state IS NOT NULL GROUP BY customer_state"
+    ).collect()
+    assert {r["customer_state"]: r["late_rate"] for r in rows} == {"SP": 0.0, "RJ": 1.0, "PR": 1.0}
+    assert spark.sql("SELECT COUNT(*) FROM order_items").first()[0] == 3
