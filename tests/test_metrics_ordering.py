@@ -120,3 +120,14 @@ def test_exact_rank_and_precision_at_k_with_string_ids(spark):
     got = M.precision_at_k(s, 700, buckets=8).first()[0]
     top = s.orderBy(F.desc("p"), F.asc("id")).limit(700).agg(F.avg("y")).first()[0]
     assert got == pytest.approx(top)
+
+
+def test_search_spaces_cover_both_tunable_models():
+    from shipwise.ml.models import build_search_spaces, sample_configs
+
+    spaces = build_search_spaces()
+    assert set(spaces) == {"random_forest", "hist_gradient_boosting"}
+    assert "model__n_estimators" in spaces["random_forest"]
+    assert "model__learning_rate" in spaces["hist_gradient_boosting"]
+    draws = sample_configs(spaces["random_forest"], 12, seed=42)
+    assert len(draws) == 12 and len({tuple(sorted(d.items(), key=str)) for d in draws}) == 12
