@@ -158,10 +158,21 @@ def order_line_aggregates(order_items: DataFrame, products: DataFrame, sellers:
     )
 
 
-def build_modeling_frame(tables: dict[str, DataFrame]) -> DataFrame:
+def _left_join(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return left.join(right, key, "left")
+    r = right.withColumnRenamed(key, "_rkey")
+    return left.join(r, left[key].eqNullSafe(r["_rkey"]), "left").drop("_rkey")
+
+
+def build_modeling_frame(tables: dict[str, DataFrame], null_safe: bool = False) -> DataFrame:
     """One row per order; unmatched orders keep null aggregates.
 
     Not sorted: consumers that need time order rank by (timestamp, order_id).
+    ``null_safe=True`` lets a null ``order_id`` group match null-keyed orders,
+    as the reference's merges do. It joins on ``<=>``, which cannot reuse the
+    aggregates' ``order_id`` partitioning. Keys are a contract (see the grain
+    report), so the default is plain equality.
     """
     require_tables(tables, ["customers", "orders", "order_items", "order_payments", "products", "sellers"])
     orders = tables["orders"]
@@ -172,10 +183,11 @@ def build_modeling_frame(tables: dict[str, DataFrame]) -> DataFrame:
     # broadcast, only these narrow rows are shuffled by customer_id; the wide
     # aggregate columns join afterwards on order_id, where the aggregates are
     # already hash-partitioned.
-    frame = (
-        orders.join(customers, "customer_id", "left")
-        .join(lines, "order_id", "left")
-        .join(payments, "order_id", "left")
+    frame = _left_join(
+        _left_join(_left_join(orders, customers, "customer_id", null_safe), lines, "order_id", null_safe),
+        payments,
+        "order_id",
+        null_safe,
     )
     ordered = list(orders.columns) + ["customer_city", "customer_state"] + ITEM_AGG_COLUMNS + PAYMENT_AGG_COLUMNS
     ordered += PRODUCT_AGG_COLUMNS + SELLER_AGG_COLUMNS

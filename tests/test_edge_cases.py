@@ -87,3 +87,15 @@ def test_iso_week_label(spark):
 def test_round_half_even_like_numpy(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (2.5,)], "x double")
     assert [r[0] for r in df.select(X.round_half_even("x", 2)).collect()] == [0.12, 0.38, 2.5]
+
+
+def test_null_safe_frame_matches_null_order_ids(spark, tables):
+    t = dict(tables)
+    t["orders"] = tables["orders"].withColumn(
+        "order_id", F.when(F.col("order_id") == "order_3", F.lit(None)).otherwise(F.col("order_id")))
+    t["order_items"] = tables["order_items"].withColumn(
+        "order_id", F.when(F.col("order_id") == "order_3", F.lit(None)).otherwise(F.col("order_id")))
+    plain = {r["order_id"]: r["item_count"] for r in build_modeling_frame(t).collect()}
+    safe = {r["order_id"]: r["item_count"] for r in build_modeling_frame(t, null_safe=True).collect()}
+    assert plain[None] is None and safe[None] == 1
+    assert plain["order_1"] == safe["order_1"] == 1
