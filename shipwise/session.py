@@ -92,6 +92,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SHIPWISE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # tests / bench only: catalog tables go to a scratch warehouse, not the cwd
+        .config("spark.sql.warehouse.dir", os.environ.get("SHIPWISE_WAREHOUSE", tempfile.mkdtemp(prefix="shipwise-wh-")))
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
