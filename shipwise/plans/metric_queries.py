@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as M
 from ..operators import ordering as O
 from ..operators.slices import slice_audit as slice_audit_op
+from ..session import materialize
 from .context import MIN_SLICE_ROWS, Ctx
 from .oracle import statement
 from .ordering_queries import RANKED_CTE, TEST_FRACTION
@@ -51,15 +52,16 @@ PK_SQL = f"""SELECT AVG(y) AS precision_at_{K} FROM (
 
 
 def scored(ctx: Ctx):
+    """Scored test rows, written once: every metric family reads them again."""
     ranked = O.chronological_split(ctx.dataset, TEST_FRACTION)
-    return ranked.where("is_test").select(
+    return materialize(ranked.where("is_test").select(
         F.col("order_id").alias("id"),
         F.col("is_late").alias("y"),
         F.greatest(F.lit(0.0), 1 - F.col("estimated_delivery_days") / 40).alias("p"),
         "estimated_delivery_days",
         "customer_state",
         "payment_type_mode",
-    )
+    ))
 
 
 @query("average_precision", statement(AP_SQL, ["average_precision"], ctes=SCORED_CTE))
