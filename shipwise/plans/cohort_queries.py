@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import cohorts as C
 from ..operators.quantiles import percentile_columns
+from ..session import materialize
 from .context import MIN_COHORT_ORDERS, MIN_CORRIDOR_ORDERS, MIN_MONTH_ORDERS, MIN_WEEK_ORDERS, Ctx
 from .oracle import mode_cte, statement
 from .registry import query
@@ -116,7 +117,9 @@ GROUP BY c.year_month, c.orders""",
     ),
 )
 def window_quantiles_month(ctx: Ctx):
-    wq = C.window_quantiles(C.with_time_labels(ctx.dataset), "year_month")
+    # narrow input read by the count, the quantile and the volume jobs: write it once
+    src = materialize(C.with_time_labels(ctx.dataset).select("year_month", "estimated_delivery_days"))
+    wq = C.window_quantiles(src, "year_month")
     return C.min_volume(wq, MIN_MONTH_ORDERS)
 
 
@@ -145,7 +148,8 @@ GROUP BY k.is_late, k.n, k.q1, k.median, k.q3""",
     ),
 )
 def box_stats(ctx: Ctx):
-    return C.box_stats(ctx.dataset, "estimated_delivery_days")
+    src = materialize(ctx.dataset.select("is_late", "estimated_delivery_days"))
+    return C.box_stats(src, "estimated_delivery_days")
 
 
 # ---------------------------------------------------------------- corridors
@@ -171,7 +175,8 @@ def corridor_stats(ctx: Ctx):
 
 
 def _pivot_inputs(ctx: Ctx):
-    corr = C.corridor_stats(ctx.dataset)
+    # the corridor table (one row per state pair) feeds two jobs: write it once
+    corr = materialize(C.corridor_stats(ctx.dataset))
     rows = C.corridor_axis_top(corr, "primary_seller_state", 12)
     # bounded: at most 15 column labels reach the driver
     cols = [r[0] for r in C.corridor_axis_top(corr, "customer_state", 15).collect()]
@@ -368,7 +373,7 @@ JOIN weight_medians m ON b.weight_bucket = m.weight_bucket""",
     ),
 )
 def weight_quintile_cohort(ctx: Ctx):
-    weight = ctx.dataset.dropna(subset=["avg_product_weight_g"])
+    weight = materialize(ctx.dataset.dropna(subset=["avg_product_weight_g"]).select("is_late", "avg_product_weight_g"))
     cohort = C.quantile_bucket(weight, "avg_product_weight_g", C.WEIGHT_QUANTILES, C.WEIGHT_LABELS, "weight_bucket")
     stats = C.bucket_cohort(cohort, "weight_bucket", C.WEIGHT_LABELS)
     medians = percentile_columns(cohort, "avg_product_weight_g", {"median_weight_g": 0.5}, ["weight_bucket"])
