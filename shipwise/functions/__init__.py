@@ -1,0 +1 @@
+"""Column expressions built from Spark's built-in functions (no Python UDFs)."""

@@ -1,0 +1 @@
+"""Distributed table operators; every function returns a lazy DataFrame."""

@@ -1,0 +1 @@
+"""Table contracts, readers, report sinks and the order-shaped test-table views."""
