@@ -56,8 +56,11 @@ def exact_duplicate_count(df: DataFrame) -> DataFrame:
 
 
 def dependency_violations(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Keys with more than one distinct non-null ``value`` (A13): one-row ``count``."""
-    per_key = df.groupBy(key).agg(F.count_distinct(value).alias("_d"))
+    """Keys with more than one distinct non-null ``value`` (A13): one-row ``count``.
+
+    Null keys form no group (the reference's group-by drops them).
+    """
+    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct(value).alias("_d"))
     return per_key.agg(F.count(F.when(F.col("_d") > 1, 1)).cast("long").alias("count"))
 
 

@@ -69,10 +69,10 @@ def exact_duplicates(ctx: Ctx):
     "key_consistency",
     statement(
         """SELECT 'orders with >1 customer_id' AS "check", CAST(COUNT(*) FILTER (WHERE d > 1) AS BIGINT) AS "count"
-FROM (SELECT order_id, COUNT(DISTINCT customer_id) AS d FROM v_orders GROUP BY order_id) a
+FROM (SELECT order_id, COUNT(DISTINCT customer_id) AS d FROM v_orders WHERE order_id IS NOT NULL GROUP BY order_id) a
 UNION ALL
 SELECT 'orders with >1 order_status', CAST(COUNT(*) FILTER (WHERE d > 1) AS BIGINT)
-FROM (SELECT order_id, COUNT(DISTINCT order_status) AS d FROM v_orders GROUP BY order_id) b
+FROM (SELECT order_id, COUNT(DISTINCT order_status) AS d FROM v_orders WHERE order_id IS NOT NULL GROUP BY order_id) b
 UNION ALL
 """
         + "\nUNION ALL\n".join(
