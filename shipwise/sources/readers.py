@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .contracts import SPECS_BY_NAME, TABLE_SPECS, require_files
+from .contracts import TABLE_SPECS, require_files
 
 # Text tokens the reference's CSV reader treats as missing.
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -56,10 +56,6 @@ def load_tables(spark: SparkSession, data_dir: str, fmt: str = "csv") -> dict[st
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def table_schema(name: str) -> T.StructType:
-    return SPECS_BY_NAME[name].schema
-
-
 def register_views(tables: dict[str, DataFrame], extra: dict[str, DataFrame] | None = None) -> list[str]:
     """Register the catalog (and e.g. the order frame / model dataset) as temp
     views, so the same lazy plans are reachable from ``spark.sql``."""
