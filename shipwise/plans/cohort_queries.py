@@ -123,13 +123,12 @@ def window_quantiles_month(ctx: Ctx):
     return C.min_volume(wq, MIN_MONTH_ORDERS)
 
 
-@query(
-    "box_stats",
-    statement(
-        """SELECT k.is_late, k.n, k.q1, k.median, k.q3,
-  MIN(CASE WHEN d.estimated_delivery_days BETWEEN k.lo AND k.hi THEN d.estimated_delivery_days END) AS whisker_low,
-  MAX(CASE WHEN d.estimated_delivery_days BETWEEN k.lo AND k.hi THEN d.estimated_delivery_days END) AS whisker_high,
-  CAST(SUM(CASE WHEN d.estimated_delivery_days BETWEEN k.lo AND k.hi THEN 0 ELSE 1 END) AS BIGINT) AS outliers
+def _box_sql(value: str, name: str) -> str:
+    return statement(
+        f"""SELECT k.is_late, k.n, k.q1, k.median, k.q3,
+  MIN(CASE WHEN d.{value} BETWEEN k.lo AND k.hi THEN d.{value} END) AS whisker_low,
+  MAX(CASE WHEN d.{value} BETWEEN k.lo AND k.hi THEN d.{value} END) AS whisker_high,
+  CAST(SUM(CASE WHEN d.{value} BETWEEN k.lo AND k.hi THEN 0 ELSE 1 END) AS BIGINT) AS outliers
 FROM (
   SELECT b.is_late, n.n,
     MAX(CASE WHEN b.q = 0.25 THEN b.val END) AS q1, MAX(CASE WHEN b.q = 0.5 THEN b.val END) AS median,
@@ -138,18 +137,31 @@ FROM (
       - 1.5 * (MAX(CASE WHEN b.q = 0.75 THEN b.val END) - MAX(CASE WHEN b.q = 0.25 THEN b.val END)) AS lo,
     MAX(CASE WHEN b.q = 0.75 THEN b.val END)
       + 1.5 * (MAX(CASE WHEN b.q = 0.75 THEN b.val END) - MAX(CASE WHEN b.q = 0.25 THEN b.val END)) AS hi
-  FROM bq b JOIN (SELECT is_late, COUNT(*) AS n FROM dataset WHERE estimated_delivery_days IS NOT NULL GROUP BY is_late) n
+  FROM {name} b JOIN (SELECT is_late, COUNT(*) AS n FROM dataset WHERE {value} IS NOT NULL GROUP BY is_late) n
     ON b.is_late = n.is_late
   GROUP BY b.is_late, n.n) k
-JOIN dataset d ON d.is_late = k.is_late AND d.estimated_delivery_days IS NOT NULL
+JOIN dataset d ON d.is_late = k.is_late AND d.{value} IS NOT NULL
 GROUP BY k.is_late, k.n, k.q1, k.median, k.q3""",
         ["q1", "median", "q3", "whisker_low", "whisker_high"],
-        ctes=pct_ctes("bq", "dataset", "estimated_delivery_days", ["is_late"], [0.25, 0.5, 0.75]),
-    ),
-)
+        ctes=pct_ctes(name, "dataset", value, ["is_late"], [0.25, 0.5, 0.75]),
+    )
+
+
+def _box(ctx: Ctx, value: str):
+    src = materialize(ctx.dataset.select("is_late", value))
+    return C.box_stats(src, value)
+
+
+@query("box_stats", _box_sql("estimated_delivery_days", "bq"))
 def box_stats(ctx: Ctx):
-    src = materialize(ctx.dataset.select("is_late", "estimated_delivery_days"))
-    return C.box_stats(src, "estimated_delivery_days")
+    """Promised window by class (box-plot numbers)."""
+    return _box(ctx, "estimated_delivery_days")
+
+
+@query("box_stats_price", _box_sql("total_price", "bqp"))
+def box_stats_price(ctx: Ctx):
+    """Order value by class (box-plot numbers)."""
+    return _box(ctx, "total_price")
 
 
 # ---------------------------------------------------------------- corridors
