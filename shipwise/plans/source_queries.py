@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.exprs import attach_one_row
 from ..operators import cohorts as C
 from ..operators.order_frame import build_modeling_frame
 from ..session import checkpoint_dir
@@ -100,3 +101,18 @@ def corridor_axis_totals(ctx: Ctx):
 )
 def seller_volumes(ctx: Ctx):
     return C.seller_volumes(ctx.tables["order_items"])
+
+
+@query(
+    "global_counts",
+    statement(
+        """SELECT (SELECT COUNT(*) FROM frame) AS frame_rows, COUNT(*) AS dataset_rows,
+  AVG(is_late) AS base_rate FROM dataset""",
+        ["base_rate"],
+    ),
+)
+def global_counts(ctx: Ctx):
+    """Rows in the order frame and in the model dataset, and the base late rate (A10)."""
+    frame_rows = ctx.frame.agg(F.count(F.lit(1)).alias("frame_rows"))
+    ds = ctx.dataset.agg(F.count(F.lit(1)).alias("dataset_rows"), F.avg("is_late").alias("base_rate"))
+    return attach_one_row(frame_rows, ds).select("frame_rows", "dataset_rows", "base_rate")
