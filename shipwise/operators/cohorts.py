@@ -54,7 +54,7 @@ def with_lift(
     groups: DataFrame, dataset: DataFrame, target: str = TARGET, digits: int | None = 2, rate: str = "late_rate"
 ) -> DataFrame:
     """``lift_vs_base = late_rate / base rate`` (F20), rounded half-even when ``digits`` is set."""
-    lift = F.col(rate) / F.col("_base_rate")
+    lift = X.safe_ratio(rate, "_base_rate")  # null, not an ANSI error, when nothing is late
     if digits is not None:
         lift = round_half_even(lift, digits)
     return (

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import attach_one_row, key_label, round_half_even
+from ..functions.exprs import attach_one_row, key_label, round_half_even, safe_ratio
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -167,7 +167,7 @@ def value_shares(df: DataFrame, col: str, count_name: str = "n_orders") -> DataF
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     return attach_one_row(counts, total).select(
-        col, count_name, round_half_even(F.col(count_name) / F.col("_total") * 100, 2).alias("share_pct")
+        col, count_name, round_half_even(safe_ratio(count_name, "_total") * 100, 2).alias("share_pct")
     )
 
 
@@ -199,5 +199,5 @@ def funnel(orders: DataFrame) -> DataFrame:
     stack_args = ", ".join(f"'{label}', s{i}" for i, label in enumerate(FUNNEL_STAGES))
     long = one.selectExpr("s0 AS _raw", f"stack({len(FUNNEL_STAGES)}, {stack_args}) AS (stage, n_orders)")
     return long.select(
-        "stage", "n_orders", round_half_even(F.col("n_orders") / F.col("_raw") * 100, 2).alias("share_of_raw_pct")
+        "stage", "n_orders", round_half_even(safe_ratio("n_orders", "_raw") * 100, 2).alias("share_of_raw_pct")
     )

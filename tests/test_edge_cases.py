@@ -99,3 +99,13 @@ def test_null_safe_frame_matches_null_order_ids(spark, tables):
     safe = {r["order_id"]: r["item_count"] for r in build_modeling_frame(t, null_safe=True).collect()}
     assert plain[None] is None and safe[None] == 1
     assert plain["order_1"] == safe["order_1"] == 1
+
+
+def test_zero_denominators_give_null_not_errors(spark, tables):
+    from shipwise.operators import profiling as P
+
+    empty = tables["orders"].where(F.lit(False))
+    assert [r["share_of_raw_pct"] for r in P.funnel(empty).collect()] == [None] * 5
+    ds = spark.createDataFrame([("a", 0), ("b", 0)], "k string, is_late int")
+    lifts = [r["lift_vs_base"] for r in C.with_lift(C.rate_by(ds, "k"), ds).collect()]
+    assert lifts == [None, None]
