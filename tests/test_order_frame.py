@@ -93,3 +93,20 @@ def test_sql_route_over_registered_views(spark, tables):
     ).collect()
     assert {r["customer_state"]: r["late_rate"] for r in rows} == {"SP": 0.0, "RJ": 1.0, "PR": 1.0}
     assert spark.sql("SELECT COUNT(*) FROM order_items").first()[0] == 3
+
+
+def test_missing_source_files_are_named_once_sorted(spark):
+    import tempfile
+
+    from shipwise.sources.contracts import list_expected_files, require_files
+
+    d = tempfile.mkdtemp(prefix="shipwise-empty-")
+    with pytest.raises(FileNotFoundError) as err:
+        require_files(spark, d)
+    assert ", ".join(sorted(list_expected_files())) in str(err.value)
+
+
+def test_missing_modeling_columns_are_named(tables):
+    frame = build_modeling_frame(tables).drop("customer_state", "order_status")
+    with pytest.raises(KeyError, match="customer_state, order_status"):
+        build_model_dataset(frame)
