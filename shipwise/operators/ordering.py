@@ -229,6 +229,8 @@ def fold_bounds(n_train: int, n_splits: int = 4) -> list[tuple[int, int, int]]:
     and trains on everything before it.
     """
     t = n_train // (n_splits + 1)
+    if t == 0:
+        raise ValueError(f"Cannot make {n_splits} walk-forward folds from {n_train} training rows")
     out = []
     for i in range(n_splits):
         start = n_train - (n_splits - i) * t

@@ -131,3 +131,8 @@ def test_search_spaces_cover_both_tunable_models():
     assert "model__learning_rate" in spaces["hist_gradient_boosting"]
     draws = sample_configs(spaces["random_forest"], 12, seed=42)
     assert len(draws) == 12 and len({tuple(sorted(d.items(), key=str)) for d in draws}) == 12
+
+
+def test_too_many_folds_raise():
+    with pytest.raises(ValueError):
+        O.fold_bounds(4, 4)
