@@ -242,13 +242,16 @@ DELIVERY_WINDOW_EDGES = [0.0, 10.0, 20.0, 30.0, float("inf")]
 DELIVERY_WINDOW_LABELS = ["0-10d", "10-20d", "20-30d", "30d+"]
 
 
-def seller_volume_cohort_frame(dataset: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Dataset with primary seller, its volume and the volume bucket."""
+def seller_volume_frame(dataset: DataFrame, order_items: DataFrame) -> DataFrame:
+    """Dataset rows with their primary seller and its order volume."""
     primary = primary_values(order_items, "seller_id", "primary_seller_id")
     vol = seller_volumes(order_items)
     primary = primary.join(vol, primary.primary_seller_id == vol.seller_id, "left").drop("seller_id")
-    cohort = dataset.join(primary, "order_id", "left")
-    # top edge is data dependent: max(1001, max volume + 1), a one-row aggregate
+    return dataset.join(primary, "order_id", "left")
+
+
+def with_seller_volume_bucket(cohort: DataFrame) -> DataFrame:
+    """Volume bucket (F16); the top edge is data dependent: max(1001, max volume + 1)."""
     cohort = X.attach_one_row(cohort, cohort.agg(F.greatest(F.lit(1001), F.max("seller_orders") + 1).alias("_top")))
     edges = [*SELLER_VOLUME_EDGES, F.col("_top")]
     return cohort.withColumn(
@@ -256,6 +259,11 @@ def seller_volume_cohort_frame(dataset: DataFrame, order_items: DataFrame) -> Da
     ).drop("_top")
 
 
+def seller_volume_cohort_frame(dataset: DataFrame, order_items: DataFrame) -> DataFrame:
+    """Dataset with primary seller, its volume and the volume bucket."""
+    return with_seller_volume_bucket(seller_volume_frame(dataset, order_items))
+
+
 def bucket_cohort(df: DataFrame, bucket: str, labels: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """Rate per bucket, only buckets with rows, with the bucket ordinal."""
     order = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(bucket)).cast("int") - 1

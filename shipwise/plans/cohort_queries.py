@@ -329,8 +329,10 @@ FROM {src} WHERE {bucket} IS NOT NULL GROUP BY {bucket}"""
     ),
 )
 def seller_volume_cohort(ctx: Ctx):
-    cohort = C.seller_volume_cohort_frame(ctx.dataset, ctx.tables["order_items"])
-    return C.with_lift(C.bucket_cohort(cohort, "seller_volume_bucket", C.SELLER_VOLUME_LABELS), ctx.dataset)
+    # one row per dataset order: written once, then read by the edge, bucket and base-rate jobs
+    narrow = materialize(C.seller_volume_frame(ctx.dataset, ctx.tables["order_items"]).select("is_late", "seller_orders"))
+    cohort = C.with_seller_volume_bucket(narrow)
+    return C.with_lift(C.bucket_cohort(cohort, "seller_volume_bucket", C.SELLER_VOLUME_LABELS), narrow)
 
 
 ITEM_BUCKET_CTE = """item_bucketed AS (
