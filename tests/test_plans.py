@@ -47,3 +47,17 @@ def test_dataset_filter_reaches_orders_scan(spark):
     text = ds._jdf.queryExecution().optimizedPlan().toString()
     # the delivered filter is applied below the joins, on the orders projection
     assert "delivered" in text
+
+
+def test_rank_windows_are_per_cell_except_over_cell_totals(spark):
+    from shipwise.operators import ordering as O
+
+    ds = Ctx(spark, SF).dataset
+    plan = O.exact_rank(ds, O.TS, O.KEY, buckets=8)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.strip().lstrip("+-: ").startswith("Window [")]
+    assert len(windows) == 2
+    for line in windows:
+        if "sum(_t_" in line:
+            continue  # running offsets over the small table of cell totals
+        assert "_b1" in line.split("windowspecdefinition(", 1)[1].split(",", 1)[0]
+    assert plan.count("Exchange SinglePartition") <= 1
