@@ -209,9 +209,24 @@ def split_cut(n: int, test_fraction: float) -> int:
 
 
 def chronological_split(
-    dataset: DataFrame, test_fraction: float = 0.2, ts: str = TS, key: str = KEY, buckets: int | None = None
+    dataset: DataFrame,
+    test_fraction: float = 0.2,
+    ts: str = TS,
+    key: str = KEY,
+    buckets: int | None = None,
+    materialize_input: bool = False,
 ) -> DataFrame:
-    """Dataset with ``rank`` and ``is_test`` (W2). Ties on time are ordered by key."""
+    """Dataset with ``rank`` and ``is_test`` (W2). Ties on time are ordered by key.
+
+    The split runs several passes over its input: the count, the cut points
+    and the rank. With ``materialize_input`` the input is written once to the
+    checkpoint folder first, so an expensive input (the order frame) is
+    computed once, not per pass. Use it at scale.
+    """
+    if materialize_input:
+        from ..session import materialize
+
+        dataset = materialize(dataset)
     n = dataset.count()
     cut = split_cut(n, test_fraction)
     ranked = exact_rank(dataset, ts, key, buckets=buckets, n_rows=n)
