@@ -30,11 +30,26 @@ MIN_COHORT_ORDERS = 50
 MIN_SLICE_ROWS = 30
 
 
-@dataclass
+@dataclass(eq=False)
 class Ctx:
+    """Lazy inputs of the registered queries for one session and data folder.
+
+    ``Ctx.get`` keeps one instance per (session, folder). Only the analyzed,
+    lazy DataFrame plans are shared, never data: every query still reads the
+    files and runs its whole plan.
+    """
+
     spark: SparkSession
     sf_dir: str
 
+    @classmethod
+    def get(cls, spark: SparkSession, sf_dir: str) -> Ctx:
+        key = (spark, sf_dir.rstrip("/"))
+        ctx = _CONTEXTS.get(key)
+        if ctx is None:
+            ctx = _CONTEXTS[key] = cls(spark, sf_dir)
+        return ctx
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return star_tables(self.spark, self.sf_dir)
@@ -48,6 +63,9 @@ class Ctx:
         return build_model_dataset(self.frame)
 
 
+_CONTEXTS: dict[tuple[SparkSession, str], Ctx] = {}
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Half-even rounding of every double column (output step of a query)."""
     cols = []

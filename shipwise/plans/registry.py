@@ -36,7 +36,7 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
-        return rounded(reg.build(Ctx(spark, sf_dir)))
+        return rounded(reg.build(Ctx.get(spark, sf_dir)))
 
     run.__name__ = name
     return run
