@@ -23,6 +23,7 @@ R1 recipe
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -34,7 +35,8 @@ from pyspark.sql.window import Window
 # Rows per cell the per-cell window sorts (spilling if needed); 65,536 cells
 # keep cells near 1.5M rows at 10^11 rows. The cut points (one double per
 # cell, at most 0.5 MB) are the only data that reaches the driver.
-DEFAULT_ROWS_PER_CELL = 200_000
+# (SHIPWISE_ROWS_PER_CELL lowers it to run the multi-cell path on small data.)
+DEFAULT_ROWS_PER_CELL = int(os.environ.get("SHIPWISE_ROWS_PER_CELL", "200000"))
 MAX_BUCKETS = 65_536
 
 
