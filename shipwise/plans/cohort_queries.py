@@ -177,8 +177,11 @@ top_rows AS (
 top_cols AS (
   SELECT customer_state FROM corr GROUP BY customer_state ORDER BY SUM(orders) DESC, customer_state LIMIT 15),
 corr_sub AS (
-  SELECT * FROM corr WHERE primary_seller_state IN (SELECT * FROM top_rows)
-    AND customer_state IN (SELECT * FROM top_cols))"""
+  -- every (top row, top column) cell, so the pivot has all top columns even
+  -- when one has no corridor among the top rows (empty cells stay null)
+  SELECT r.primary_seller_state, c.customer_state, k.orders, k.late_rate
+  FROM top_rows r CROSS JOIN top_cols c
+  LEFT JOIN corr k ON k.primary_seller_state = r.primary_seller_state AND k.customer_state = c.customer_state)"""
 
 
 @query("corridor_stats", statement("SELECT * FROM corr", ["late_rate"], ctes=CORRIDOR_CTE))
