@@ -55,6 +55,10 @@ def sort_proxy(df: DataFrame, name: str) -> Column:
     become their first 6 bytes, right-padded, as a 48-bit number, which
     follows Spark's binary string order. Equal proxies only put rows in the
     same range; the exact order comes from the real column inside a cell.
+    String keys that share a long common prefix give equal proxies, so they
+    cannot be split further. For hash-like ids (the marketplace's hex ids)
+    this does not arise. Where any fixed order will do, rank by a hash
+    instead (as permutation importance does).
     """
     dt = df.schema[name].dataType
     c = F.col(name)
