@@ -61,3 +61,13 @@ def test_rank_windows_are_per_cell_except_over_cell_totals(spark):
             continue  # running offsets over the small table of cell totals
         assert "_b1" in line.split("windowspecdefinition(", 1)[1].split(",", 1)[0]
     assert plan.count("Exchange SinglePartition") <= 1
+
+
+def test_context_is_shared_per_session_and_folder(spark):
+    a, b = Ctx.get(spark, SF), Ctx.get(spark, SF + "/")
+    assert a is b and Ctx.get(spark, "/root/testdata/sf0.01") is not a
+
+
+def test_entry_schema_is_stable(spark):
+    first, second = entry.entry(spark), entry.entry(spark)
+    assert first.schema == second.schema and first.count() == second.count()
