@@ -8,20 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .common import read_table
+from .packing import pack
 from .quality_rules import quality_rules
 from .sharding import shard_by_bytes
+from .token_files import token_round_trip
+
+
+def bpe_path() -> str:
+    """The public byte-level BPE file; its place is a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), bpe_path(), size=1024, end_id=0)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(read_table(spark, sf_dir, "documents"), bpe_path(), end_id=2)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(read_table(spark, sf_dir, "documents"), 8)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op9_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op8_token_files, op9_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
