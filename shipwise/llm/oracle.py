@@ -76,4 +76,26 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
   CAST(row_number() OVER (PARTITION BY shard ORDER BY rn) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM s"""
 
-SQL = {"op2_quality_rules": _quality_rules(), "op9_sharding": _SHARDING}
+_SUBSTRING = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), win AS (
+  SELECT r, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+  FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM d)
+), gone AS (
+  SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY k) AS least FROM win) WHERE doc_id > least
+), words AS (
+  SELECT r, doc_id, p, ws[p] AS w FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)
+), cut AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM gone
+), left_over AS (
+  SELECT w.r, count(*) AS n, string_agg(w.w, ' ' ORDER BY w.p) AS t
+  FROM words w LEFT JOIN cut c ON c.r = w.r AND c.p = w.p WHERE c.p IS NULL GROUP BY w.r
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(l.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(l.t, '')) AS kept_sha256
+FROM d LEFT JOIN left_over l ON l.r = d.r"""
+
+SQL = {"op2_quality_rules": _quality_rules(), "op9_sharding": _SHARDING, "op10_substring_dedup": _SUBSTRING}

@@ -11,6 +11,8 @@ from .common import read_table
 from .packing import pack
 from .quality_rules import quality_rules
 from .sharding import shard_by_bytes
+from .simhash import simhash_components
+from .substring import substring_digests
 from .token_files import token_round_trip
 
 
@@ -29,6 +31,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"), n_words=4, radius=4)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(read_table(spark, sf_dir, "documents"), bpe_path(), end_id=2)
 
@@ -37,8 +43,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(read_table(spark, sf_dir, "documents"), 8)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digests(read_table(spark, sf_dir, "documents"), window=13)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op8_token_files, op9_sharding)}
+    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op8_token_files, op9_sharding, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
