@@ -15,17 +15,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+
+from .piece_table import PieceTable
 
 # A space before white space of any kind, or at the end of a text.
 _LOOSE_SPACE = r" ([\s\x0B\x1C-\x1F\x{85}\p{Z}]|$)"
 
 
 class BpeEncoder:
-    """Encodes text arrays; keeps the ids of about ``cache_size`` pieces between calls.
-
-    Kept pieces are found by a 128-bit hash in sorted arrays, some 60 bytes a piece.
-    """
+    """Encodes text arrays; a bounded table keeps the ids of pieces between calls."""
 
     def __init__(self, path: str, cache_size: int = 1_800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,16 +37,7 @@ class BpeEncoder:
         self.by_piece = plain and spec.get("normalizer") is None and not spec["model"].get("dropout")
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.vocab_size = self.tokenizer.get_vocab_size()
-        self.cache_size = cache_size
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # first half of the hash, sorted
-        self.checks = np.zeros(0, np.uint64)
-        self.rows = np.zeros(0, np.int32)
-        self.ids = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int32)
+        self.table = PieceTable(cache_size)
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,16 +57,6 @@ class BpeEncoder:
             lengths.append(np.bincount(owner, minlength=len(group)))
         return np.concatenate(flat), np.concatenate(lengths)
 
-    def _append(self, texts: list[str], encode) -> int:
-        """Encode and add to the table; returns the row of the first text."""
-        first = len(self.starts)
-        flat, lengths = encode(texts)
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        self.ids = np.concatenate([self.ids, flat])
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
-        return first
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of text i are ``ids[offsets[i]:offsets[i + 1]]``; null is empty."""
         texts = texts.fill_null("")
@@ -103,51 +82,26 @@ class BpeEncoder:
         out[~mask], out[mask] = ids, flat
         return out, offsets
 
-    def _find(self, pieces: list[bytes]) -> np.ndarray:
-        """The table row of each piece, -1 if it isn't kept."""
-        self._hash = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces)), "<u8").reshape(-1, 2)
-        if not len(self.keys):
-            return np.full(len(pieces), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, self._hash[:, 0]), len(self.keys) - 1)
-        same = (self.keys[at] == self._hash[:, 0]) & (self.checks[at] == self._hash[:, 1])
-        return np.where(same, self.rows[at].astype(np.int64), -1)
-
-    def _keep(self, new: np.ndarray, rows: np.ndarray) -> None:
-        new = new[np.argsort(self._hash[new, 0], kind="stable")]
-        at = np.searchsorted(self.keys, self._hash[new, 0])
-        self.keys = np.insert(self.keys, at, self._hash[new, 0])
-        self.checks = np.insert(self.checks, at, self._hash[new, 1])
-        self.rows = np.insert(self.rows, at, rows[new].astype(np.int32))
-
     def _by_piece(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if len(self.keys) > self.cache_size:
-            self._clear()
         parts = pc.split_pattern(texts, " ")
         counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         heads = np.cumsum(counts) - counts
         coded = parts.flatten().dictionary_encode()
         pieces = coded.dictionary.cast(pa.binary()).to_pylist()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        rows = self._find(pieces)
         inner = np.ones(len(codes), bool)
         inner[heads] = False
         used = np.zeros(len(pieces), bool)
         used[codes[inner]] = True
-        new = np.flatnonzero((rows < 0) & used)
-        if len(new):
-            rows[new] = self._append([pieces[i].decode() for i in new], self._joined) + np.arange(len(new))
-            self._keep(new, rows)
-        at = rows[codes]
-        kept = len(self.ids), len(self.starts)
+        at = self.table.rows_of(pieces, self._joined, used)[codes]
+        kept = len(self.table.starts), len(self.table.ids)
         # The first piece of a text has no space before it.
         own, inverse = np.unique(codes[heads], return_inverse=True)
-        at[heads] = self._append([pieces[i].decode() for i in own], self._whole) + inverse
-        size = self.lengths[at].astype(np.int64)
-        ends = np.cumsum(size)
-        out = self.ids[np.repeat(self.starts[at] - (ends - size), size) + np.arange(ends[-1])]
-        self.ids, self.starts, self.lengths = self.ids[: kept[0]], self.starts[: kept[1]], self.lengths[: kept[1]]
+        at[heads] = self.table.append(*self._whole([pieces[i].decode() for i in own])) + inverse
+        out, size = self.table.gather(at)
+        self.table.cut(*kept)
         return out, np.add.reduceat(size, heads)
 
 

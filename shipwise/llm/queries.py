@@ -10,6 +10,7 @@ from . import oracle
 from .common import read_table
 from .packing import pack
 from .quality_rules import quality_rules
+from .sentence_pieces import piece_digests
 from .sharding import shard_by_bytes
 from .simhash import simhash_components
 from .substring import substring_digests
@@ -35,6 +36,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), n_words=4, radius=4)
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(read_table(spark, sf_dir, "documents"), bpe_path(), end_id=2)
 
@@ -48,7 +55,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op8_token_files, op9_sharding, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
