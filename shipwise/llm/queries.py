@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .common import read_table
 from .packing import pack
+from .quality_model import quality_scores
 from .quality_rules import quality_rules
 from .sentence_pieces import piece_digests
 from .sharding import shard_by_bytes
@@ -36,6 +37,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents"), n_words=4, radius=4)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,7 +60,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
