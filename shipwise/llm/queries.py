@@ -16,6 +16,7 @@ from .sharding import shard_by_bytes
 from .simhash import simhash_components
 from .substring import substring_digests
 from .token_files import token_round_trip
+from .toxicity import toxicity_scores
 
 
 def bpe_path() -> str:
@@ -41,6 +42,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.5)
+
+
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -60,7 +65,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
