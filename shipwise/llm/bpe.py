@@ -25,7 +25,7 @@ _LOOSE_SPACE = r" ([\s\x0B\x1C-\x1F\x{85}\p{Z}]|$)"
 class BpeEncoder:
     """Encodes text arrays; a bounded table keeps the ids of pieces between calls."""
 
-    def __init__(self, path: str, cache_size: int = 1_800_000):
+    def __init__(self, path: str, cache_size: int = 1_400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -66,7 +66,7 @@ def _pack_partition(path: str, size: int, n_open: int, end_id: int):
         schema = pa.schema([(c.split()[0], pa.int64()) for c in _PIECES.split(", ")])
         for batch in batches:
             docs, texts = column(batch, "doc_id", pa.int64()).to_pylist(), column(batch, "text", pa.string())
-            for lo, hi in text_chunks(texts):
+            for lo, hi in text_chunks(texts, 4 << 20):
                 ids, offsets = bpe.encode(texts.slice(lo, hi - lo))
                 rows = []
                 for k in range(hi - lo):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .common import read_table
+from .nn_descent import nearest
 from .packing import pack
 from .quality_model import quality_scores
 from .quality_rules import quality_rules
@@ -46,6 +47,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.5)
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), n_neighbours=10, every=100)
+
+
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -65,7 +70,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op6_nn_descent, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -37,7 +37,7 @@ _ODD = f"{MARK}{MARK}|{MARK}$|^[^{MARK}]"
 class PieceModel:
     """The pieces of one model file with encoding and decoding."""
 
-    def __init__(self, path: str, cache_size: int = 1_500_000):
+    def __init__(self, path: str, cache_size: int = 700_000):
         from sentencepiece import SentencePieceProcessor
 
         self.sp = SentencePieceProcessor(model_file=path)
@@ -51,10 +51,6 @@ class PieceModel:
         self.unknown = min((s for s, _ in self.score.values()), default=0.0) - 10.0
         # Every ending of a piece: a longer string can't be a piece once its ending isn't here.
         self.endings = {p[k:] for p in self.score for k in range(len(p))}
-        self.raw = [b"" if i in special else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
-        for b, i in self.byte_ids.items():
-            self.raw[i] = bytes([b])
-        self.raw[sp.unk_id()] = " ⁇ ".encode()
         self.table = PieceTable(cache_size)
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +129,24 @@ class PieceModel:
         word_ends = np.concatenate([[0], np.cumsum(size)])
         return ids, word_ends[np.concatenate([[0], np.cumsum(counts)])]
 
+
+class PieceDecoder:
+    """The bytes of every id of a model file."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        sp = SentencePieceProcessor(model_file=path)
+        self.raw = []
+        for i in range(sp.get_piece_size()):
+            piece = sp.id_to_piece(i)
+            if sp.is_byte(i):
+                self.raw.append(bytes([int(piece[1:-1], 16)]))
+            elif sp.is_unknown(i):
+                self.raw.append(" ⁇ ".encode())
+            else:
+                self.raw.append(b"" if sp.is_control(i) else piece.replace(MARK, " ").encode())
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces joined, marks as spaces, without the mark put before a text."""
         text = b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -145,12 +159,17 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+@lru_cache(maxsize=2)
+def piece_decoder(path: str) -> PieceDecoder:
+    return PieceDecoder(path)
+
+
 def _encode_partition(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
             docs, texts = column(batch, "doc_id", pa.int64()), column(batch, "text", pa.string())
-            for lo, hi in text_chunks(texts):
+            for lo, hi in text_chunks(texts, 2 << 20):
                 ids, offsets = model.encode(texts.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(
                     [docs.slice(lo, hi - lo), pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids.astype(np.int32)))],
@@ -162,7 +181,7 @@ def _encode_partition(path: str):
 
 def _decode_partition(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = piece_model(path)
+        model = piece_decoder(path)
         for batch in batches:
             rows = batch.column(batch.schema.get_field_index("ids"))
             for lo in range(0, batch.num_rows, 1000):

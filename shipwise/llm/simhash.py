@@ -280,11 +280,16 @@ def simhash_components(
 
 
 def keep_one_per_component(docs: DataFrame, n_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's id.
+    """The rows of ``docs`` whose doc_id is their component's id, all columns kept.
 
     Rows with one doc_id and one text count as one document and stay once.
+    A component's id can't name a row without a doc_id; such rows stay, once
+    for each text.
     """
-    kept = simhash_components(docs, n_words, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
-    return rows.withColumn("_same", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_same"]).drop("_same")
+    kept = simhash_components(docs, n_words, radius).filter(F.col("doc_id") == F.col("component_id"))
+    ids = kept.select(F.col("doc_id").alias("kept_doc_id")).distinct()
+    same = "same_text_" + "_".join(docs.columns)[:40]  # no column of docs has this name
+    rows = docs.withColumn(same, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    named = rows.join(ids, rows["doc_id"] == ids["kept_doc_id"], "left_semi")
+    parts = [part.dropDuplicates(["doc_id", same]).drop(same) for part in (named, rows.filter(F.col("doc_id").isNull()))]
+    return parts[0].union(parts[1])

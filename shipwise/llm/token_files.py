@@ -141,7 +141,7 @@ def _write_partition(folder: str, tokenizer_path: str, end_id: int):
                 files[0].create_dir(files[1], recursive=True)
                 sink = files[0].open_output_stream(path, compression=None)
                 writer = FrameWriter(sink, width)
-            for lo, hi in text_chunks(texts):
+            for lo, hi in text_chunks(texts, 4 << 20):
                 ids, offsets = bpe.encode(texts.slice(lo, hi - lo))
                 for k in range(hi - lo):
                     writer.add(docs[lo + k], np.append(ids[offsets[k] : offsets[k + 1]], end_id))
