@@ -81,6 +81,8 @@ def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _by_block(dst: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    if not len(dst):
+        return
     order = np.argsort(dst, kind="stable")
     first = np.flatnonzero(np.diff(dst[order], prepend=-1))
     for lo, hi in zip(first, np.append(first[1:], len(order)), strict=True):

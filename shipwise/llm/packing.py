@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import column, narrow, store, text_chunks
+from .common import column, lean, narrow, store, text_chunks
 
 N_OPEN = 128
 MERGED_PARTITIONS = 64
@@ -113,7 +113,7 @@ def pack(
     at multiples of ``size``. Null and repeated ids are packed row by row.
     An empty table gives no rows; extra columns are not read.
     """
-    pieces = store(narrow(docs, id_col, text_col).mapInArrow(_pack_partition(tokenizer_path, size, n_open, end_id), _PIECES))
+    pieces = store(narrow(docs, id_col, text_col).mapInArrow(lean(_pack_partition(tokenizer_path, size, n_open, end_id)), _PIECES))
     left = pieces.filter("left_used is not null").select(
         "part", "window", "left_used", F.expr(f"part div {MERGED_PARTITIONS}").alias("team")
     )

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, narrow, split_words, text_chunks
+from .common import column, lean, narrow, split_words, text_chunks
 from .labels import scored, training_rows
 from .substring import word_hashes
 
@@ -149,7 +149,7 @@ def fit_quality(
     At most ``max_rows`` bags of texts up to ``max_bytes`` reach the driver.
     """
     sample = training_rows(narrow(docs), labels, label, max_rows, max_bytes)
-    bags = sample.mapInArrow(_encode, "doc_id long, label long, bag binary").orderBy("doc_id").collect()
+    bags = sample.mapInArrow(lean(_encode), "doc_id long, label long, bag binary").orderBy("doc_id").collect()
     if len({b["label"] for b in bags}) < 2:
         return None
     each = [np.frombuffer(b["bag"], np.float32).reshape(-1, N_FEATURES) for b in bags]
@@ -180,7 +180,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     extra columns are not read.
     """
     rows = narrow(docs)
-    return scored(rows.mapInArrow(_score(fit_quality(docs, labels)), "doc_id long, score double"), threshold)
+    return scored(rows.mapInArrow(lean(_score(fit_quality(docs, labels))), "doc_id long, score double"), threshold)
 
 
 def keep_scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -196,4 +196,4 @@ def keep_scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> D
                     part = part.filter(pa.array(model.score(*passage_features(texts.slice(lo, hi - lo))) >= threshold))
                 yield part
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

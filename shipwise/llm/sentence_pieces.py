@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, narrow, text_chunks
+from .common import column, lean, narrow, text_chunks
 from .piece_table import PieceTable
 
 MARK = "▁"
@@ -210,13 +210,13 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     Repeated rows and null ids are encoded row by row; an empty table gives no
     rows; extra columns are not read.
     """
-    return narrow(docs, id_col, text_col).mapInArrow(_encode_partition(model_path), "doc_id long, ids array<int>")
+    return narrow(docs, id_col, text_col).mapInArrow(lean(_encode_partition(model_path)), "doc_id long, ids array<int>")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, text) of rows (doc_id, ids); null ids are none."""
     return encoded.select("doc_id", "ids").mapInArrow(
-        _decode_partition(model_path), "doc_id long, n_tokens long, ids_crc32 long, text string"
+        lean(_decode_partition(model_path)), "doc_id long, n_tokens long, ids_crc32 long, text string"
     )
 
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, narrow, scalar_row, store, text_chunks
+from .common import column, lean, narrow, scalar_row, store, text_chunks
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -89,7 +89,7 @@ def fingerprints(
     docs: DataFrame, n_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, fp) per row; null and empty texts have fingerprint zero."""
-    return narrow(docs, id_col, text_col).mapInArrow(_fingerprints(n_words), "doc_id long, fp long")
+    return narrow(docs, id_col, text_col).mapInArrow(lean(_fingerprints(n_words)), "doc_id long, fp long")
 
 
 # -------------------------------------------------------------------- BK-trees
@@ -248,7 +248,7 @@ def fingerprint_links(distinct: DataFrame, n: int, radius: int = RADIUS, tree_si
         .select("key", "shard", (F.col("shard") == F.col("own")).cast("long").alias("member"), "fp")
     )
     by_tree = placed.repartition("key", "shard").sortWithinPartitions("key", "shard", F.desc("member"), "fp")
-    return by_tree.mapInArrow(_link_partition(radius), "a long, b long")
+    return by_tree.mapInArrow(lean(_link_partition(radius)), "a long, b long")
 
 
 def simhash_components(

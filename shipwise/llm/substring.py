@@ -22,12 +22,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, narrow, scalar_row, split_words, text_chunks
+from .common import column, lean, narrow, release, scalar_row, split_words, text_chunks
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20
-_HELD_WINDOWS = 3_000_000
+_HELD_WINDOWS = 2_000_000
 _MAX_CUTS = 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # any odd number serves
 
@@ -142,6 +142,7 @@ def _resolve(size: int, digest: bool):
     """Pass 2: one block with the hashes that earlier blocks hold."""
 
     def run(docs: pa.Table, earlier: pa.Table) -> pa.Table:
+        release()  # of the block before
         docs = docs.combine_chunks()
         # Null ids come last and neither remove nor lose words.
         docs = docs.take(pc.sort_indices(docs, [("doc_id", "ascending")], null_placement="at_end"))
@@ -231,7 +232,7 @@ def _dedup(rows: DataFrame, window: int, block_bytes: int, digest: bool, schema:
     rows, total = _with_blocks(rows, block_bytes)
     n_buckets = max(1, -(-total // BUCKET_BYTES))
     reports = rows.select("block", "doc_id", "text").mapInArrow(
-        _report(window, n_buckets), "bucket long, block long, blob binary"
+        lean(_report(window, n_buckets)), "bucket long, block long, blob binary"
     )
     earlier = reports.groupBy("bucket").applyInPandas(
         lambda pdf: _count_bucket(pdf), "block long, blob binary"

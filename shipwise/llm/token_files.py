@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import column, narrow, scalar_row, store, text_chunks, work_path
+from .common import column, lean, narrow, scalar_row, store, text_chunks, work_path
 
 FRAME_TOKENS = 1 << 20
 BYTES_PER_FILE = 32 << 20
@@ -172,7 +172,7 @@ def write_token_files(
         F.monotonically_increasing_id().alias("place"),
     ).repartitionByRange(max(1, -(-total // bytes_per_file)), *order).sortWithinPartitions(*order)
     # Tasks write the files; the manifest keeps one row for each attempt that counted.
-    return store(ranged.select("doc_id", "text").mapInArrow(_write_partition(folder, tokenizer_path, end_id), _MANIFEST), "manifests")
+    return store(ranged.select("doc_id", "text").mapInArrow(lean(_write_partition(folder, tokenizer_path, end_id)), _MANIFEST), "manifests")
 
 
 def _read_files(folder: str, wanted: tuple[int, ...] | None, digest: bool):

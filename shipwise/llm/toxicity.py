@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, narrow, split_words, text_chunks
+from .common import column, lean, narrow, split_words, text_chunks
 from .labels import scored, training_rows
 
 # Letters of the model; 0 is a word's edge and the last class any other letter.
@@ -107,7 +107,7 @@ class CharModel:
 
 def char_model(docs: DataFrame) -> CharModel:
     """Counted over all documents; at most the cube of the classes reaches the driver."""
-    rows = narrow(docs).select("text").mapInArrow(_count_partition, "key long, n long")
+    rows = narrow(docs).select("text").mapInArrow(lean(_count_partition), "key long, n long")
     counts = np.zeros(N_CLASSES**3)
     for r in rows.groupBy("key").agg(F.sum("n").alias("n")).collect():
         counts[r["key"]] = r["n"]
@@ -358,4 +358,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
                 y = model.score(texts.slice(lo, hi - lo), restorer) if model else np.full(hi - lo, 0.5)
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(y, pa.float64())], names=["doc_id", "score"])
 
-    return scored(narrow(docs).mapInArrow(run, "doc_id long, score double"), threshold)
+    return scored(narrow(docs).mapInArrow(lean(run), "doc_id long, score double"), threshold)
