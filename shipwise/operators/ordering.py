@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import math
 import os
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -32,12 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# Rows per cell the per-cell window sorts (spilling if needed); 65,536 cells
-# keep cells near 1.5M rows at 10^11 rows. The cut points (one double per
-# cell, at most 0.5 MB) are the only data that reaches the driver.
+from ..functions.exprs import attach_one_row
+
+# Rows per cell the per-cell window sorts (spilling if needed); 2^20 cells of
+# that size hold 2 * 10^11 rows, beyond which cells grow. The cut points (one
+# double per cell, at most 8 MB) are the only data that reaches the driver.
 # (SHIPWISE_ROWS_PER_CELL lowers it to run the multi-cell path on small data.)
 DEFAULT_ROWS_PER_CELL = int(os.environ.get("SHIPWISE_ROWS_PER_CELL", "200000"))
-MAX_BUCKETS = 65_536
+MAX_BUCKETS = 1 << 20
 
 
 def ts_micros(col: str | Column) -> Column:
@@ -52,13 +55,12 @@ def sort_proxy(df: DataFrame, name: str) -> Column:
     """A double that never decreases along the column's own sort order (R1 cut points).
 
     Timestamps become epoch micros, dates days, numbers themselves. Strings
-    become their first 6 bytes, right-padded, as a 48-bit number, which
-    follows Spark's binary string order. Equal proxies only put rows in the
-    same range; the exact order comes from the real column inside a cell.
-    String keys that share a long common prefix give equal proxies, so they
-    cannot be split further. For hash-like ids (the marketplace's hex ids)
-    this does not arise. Where any fixed order will do, rank by a hash
-    instead (as permutation importance does).
+    become the 6 bytes after the prefix that all values share (found from the
+    least and the greatest value, one narrow pass), right-padded, as a 48-bit
+    number, which follows Spark's binary string order. Equal proxies only put
+    rows in the same range; the exact order comes from the real column inside
+    a cell. Where any fixed order will do, rank by a hash instead (as
+    permutation importance does).
     """
     dt = df.schema[name].dataType
     c = F.col(name)
@@ -67,7 +69,9 @@ def sort_proxy(df: DataFrame, name: str) -> Column:
     if isinstance(dt, T.DateType):
         return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
     if isinstance(dt, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(c, 1, 6)), 12, "0"), 16, 10).cast("double")
+        ends = df.agg(F.min(c.cast("binary")).alias("lo"), F.max(c.cast("binary")).alias("hi")).first()
+        shared = len(os.path.commonprefix([bytes(ends["lo"]), bytes(ends["hi"])])) if ends["lo"] is not None else 0
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), shared + 1, 6)), 12, "0"), 16, 10).cast("double")
     if isinstance(dt, T.BooleanType):
         return c.cast("int").cast("double")
     return c.cast("double")
@@ -80,15 +84,27 @@ def _splits(values: Sequence[float]) -> tuple[list[float], list[float]]:
     isolated in ``[v, nextafter(v))`` and reported as hot.
     """
     vals = [v for v in values if v is not None and not math.isnan(v)]
-    hot = sorted({v for v in vals if vals.count(v) > 1})
+    hot = sorted(v for v, times in Counter(vals).items() if times > 1)
     pts = set(vals)
     for v in hot:
         pts.add(math.nextafter(v, math.inf))
     return [-math.inf, *sorted(pts), math.inf], hot
 
 
-def _bucketize(df: DataFrame, input_col: str, output_col: str, splits: list[float]) -> DataFrame:
-    return Bucketizer(splits=splits, inputCol=input_col, outputCol=output_col, handleInvalid="keep").transform(df)
+def _bucketize(df: DataFrame, input_col: str, output_col: str, splits: list[float], null_cell: float = -1.0) -> DataFrame:
+    """Range of every value; NaN after all ranges (as it sorts), null in ``null_cell``."""
+    if len(splits) > 2:
+        out = Bucketizer(splits=splits, inputCol=input_col, outputCol=output_col, handleInvalid="keep").transform(df)
+    else:
+        out = df.withColumn(output_col, F.lit(0.0))
+    return out.withColumn(output_col, F.when(F.col(input_col).isNull(), F.lit(null_cell)).otherwise(F.col(output_col)))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join that keeps null keys: nulls equal each other, as they do in ``groupBy``."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _bucket_count(n_rows: int | None, buckets: int | None, rows_per_cell: int) -> int:
@@ -101,34 +117,41 @@ def _bucket_count(n_rows: int | None, buckets: int | None, rows_per_cell: int) -
 
 def with_cells(
     df: DataFrame,
-    lead: Column,
-    tie: Column | None = None,
+    lead: Column | Callable[[], Column],
+    tie: Column | Callable[[], Column] | None = None,
     buckets: int | None = None,
     rows_per_cell: int = DEFAULT_ROWS_PER_CELL,
     accuracy: int | None = None,
     n_rows: int | None = None,
+    nulls_last: bool = False,
 ) -> tuple[DataFrame, bool]:
     """Add ``_b1`` / ``_b2`` range cells (monotone in (lead, tie)).
 
+    ``lead`` and ``tie`` may be functions, called only if cells are needed.
+    Null leads form a cell before all ranges (after them with ``nulls_last``),
+    cut by the tie-break key like a hot value.
+
     Returns (frame, single): ``single`` means the counted input fits one cell
     (at most ``rows_per_cell`` rows) and no cell columns were added.
     """
-    df = df.withColumn("_k1", lead.cast("double"))
-    if tie is not None:
-        df = df.withColumn("_k2", tie.cast("double"))
     n = None if buckets else (n_rows if n_rows is not None else df.count())
     b = _bucket_count(n, buckets, rows_per_cell)
     if b <= 1:
         return df, True
+    df = df.withColumn("_k1", (lead() if callable(lead) else lead).cast("double"))
+    if tie is not None:
+        df = df.withColumn("_k2", (tie() if callable(tie) else tie).cast("double"))
     probs = [i / b for i in range(1, b)]
     # rank error of the cut points ~ n / accuracy: keep it below a quarter cell
     accuracy = accuracy or max(10_000, 4 * b)
-    q = df.agg(F.percentile_approx("_k1", probs, accuracy).alias("q")).first()["q"] or []
-    splits, hot = _splits(q)
-    out = _bucketize(df, "_k1", "_b1", splits)
-    if tie is None or not hot:
+    seen = df.agg(
+        F.percentile_approx("_k1", probs, accuracy).alias("q"), F.count_if(F.col("_k1").isNull()).alias("nulls")
+    ).first()
+    splits, hot = _splits(seen["q"] or [])
+    out = _bucketize(df, "_k1", "_b1", splits, math.inf if nulls_last else -1.0)
+    if tie is None or not (hot or seen["nulls"]):
         return out.withColumn("_b2", F.lit(0.0)), False
-    is_hot = F.col("_k1").isin(hot)
+    is_hot = F.col("_k1").isNull() | F.coalesce(F.col("_k1").isin(hot), F.lit(False))
     q2 = out.where(is_hot).agg(F.percentile_approx("_k2", probs, accuracy).alias("q")).first()["q"] or []
     splits2, _ = _splits(q2)
     out = _bucketize(out.withColumn("_k2h", F.when(is_hot, F.col("_k2")).otherwise(F.lit(0.0))), "_k2h", "_b2", splits2)
@@ -138,25 +161,28 @@ def with_cells(
 def prefix_sums(
     df: DataFrame,
     order: Sequence[Column],
-    lead: Column,
+    lead: Column | Callable[[], Column],
     values: dict[str, Column],
     partition: Sequence[str] = (),
-    tie: Column | None = None,
+    tie: Column | Callable[[], Column] | None = None,
     inclusive: bool = True,
     buckets: int | None = None,
     rows_per_cell: int = DEFAULT_ROWS_PER_CELL,
     n_rows: int | None = None,
+    nulls_last: bool = False,
 ) -> DataFrame:
     """Running sums of ``values`` in the total order ``order`` (per ``partition``).
 
     ``lead`` is a numeric proxy monotone (non-decreasing) in ``order`` and
     ``tie`` one in the remaining keys. ``inclusive`` counts the current row.
+    ``nulls_last`` says where ``order`` puts null leads (Spark: first when
+    ascending, last when descending). Null partition keys form a partition.
     Output columns ``cum_<name>`` are added; helper columns are dropped.
     """
     part = list(partition)
     names = list(values)
     src = df.withColumns({f"_v_{k}": v for k, v in values.items()})
-    cells, single = with_cells(src, lead, tie, buckets, rows_per_cell, n_rows=n_rows)
+    cells, single = with_cells(src, lead, tie, buckets, rows_per_cell, n_rows=n_rows, nulls_last=nulls_last)
     frame = Window.unboundedPreceding, (0 if inclusive else -1)
     if single:
         w = Window.partitionBy(*part).orderBy(*order).rowsBetween(*frame)
@@ -169,7 +195,7 @@ def prefix_sums(
             *cell_keys, *[F.coalesce(F.sum(f"_t_{k}").over(w_cells), F.lit(0)).alias(f"_o_{k}") for k in names]
         )
         w_in = Window.partitionBy(*cell_keys).orderBy(*order).rowsBetween(*frame)
-        out = cells.join(offsets, cell_keys, "left").withColumns(
+        out = null_safe_join(cells, offsets, cell_keys).withColumns(
             {f"cum_{k}": F.col(f"_o_{k}") + F.coalesce(F.sum(f"_v_{k}").over(w_in), F.lit(0)) for k in names}
         )
     drop = [c for c in out.columns if c.startswith(("_v_", "_o_", "_t_")) or c in ("_k1", "_k2", "_b1", "_b2")]
@@ -185,17 +211,14 @@ def exact_rank(
     buckets: int | None = None,
     n_rows: int | None = None,
 ) -> DataFrame:
-    """0-based position by (``ts``, ``key``) ascending, optionally per partition.
-
-    Keys must be non-null (the model dataset guarantees it for the timestamp).
-    """
+    """0-based position by (``ts``, ``key``) ascending, nulls first, optionally per partition."""
     out = prefix_sums(
         df,
         [F.col(ts).asc(), F.col(key).asc()],
-        lead=sort_proxy(df, ts),
+        lead=lambda: sort_proxy(df, ts),
         values={"_one": F.lit(1).cast("long")},
         partition=partition,
-        tie=sort_proxy(df, key),
+        tie=lambda: sort_proxy(df, key),
         inclusive=False,
         buckets=buckets,
         n_rows=n_rows,
@@ -298,14 +321,17 @@ def stratified_holdout(
         lead=F.conv(F.substring("_h", 1, 13), 16, 10).cast("double"),
         values={"_one": F.lit(1).cast("long")},
         partition=[label],
-        tie=sort_proxy(src, key),
+        tie=lambda: sort_proxy(src, key),
         inclusive=False,
         buckets=buckets,
     ).withColumnRenamed("cum__one", "_r")
-    counts = dataset.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.floor(F.col("_n").cast("double") * F.lit(1 - test_fraction))
-    return (
-        ranked.join(counts, label)
-        .withColumn("is_test", F.col("_r") >= cut)
-        .drop("_h", "_r", "_n")
+    # Class sizes travel as one map (a scalar subquery), so no row is shuffled
+    # by its class; a null label is a class of its own.
+    name = F.coalesce(F.col(label).cast("string"), F.lit("null label"))
+    sizes = (
+        dataset.groupBy(name.alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+        .select(F.map_from_entries(F.collect_list(F.struct("_class", "_n"))).alias("_sizes"))
     )
+    with_sizes = attach_one_row(ranked, sizes)
+    cut = F.floor(F.element_at("_sizes", name).cast("double") * F.lit(1 - test_fraction))
+    return with_sizes.withColumn("is_test", F.col("_r") >= cut).drop("_h", "_r", "_sizes")

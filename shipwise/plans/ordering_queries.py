@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import cohorts as C
 from ..operators import ordering as O
+from ..operators.quantiles import percentile_columns
+from ..session import materialize
 from .context import MIN_MONTH_ORDERS, Ctx
 from .oracle import statement
 from .registry import query
@@ -129,3 +131,39 @@ def stratified_holdout(ctx: Ctx):
     return O.stratified_holdout(ctx.dataset, test_fraction=TEST_FRACTION, seed=42).select(
         "order_id", "is_late", "is_test"
     )
+
+
+@query(
+    "rank_null_keys",
+    statement(
+        """SELECT order_id, order_status, row_number() OVER (
+    PARTITION BY CASE WHEN order_id % 5 = 0 THEN NULL ELSE order_status END
+    ORDER BY CASE WHEN order_id % 3 = 0 THEN NULL ELSE order_purchase_timestamp END NULLS FIRST, order_id) - 1 AS rank
+FROM v_orders""",
+        dataset=False,
+    ),
+)
+def rank_null_keys(ctx: Ctx):
+    """R1 over many cells with a third of the sort keys and a fifth of the partition keys null."""
+    orders = ctx.tables["orders"].select(
+        "order_id", "order_status",
+        F.when(F.col("order_id") % 3 != 0, F.col("order_purchase_timestamp")).alias("ts"),
+        F.when(F.col("order_id") % 5 != 0, F.col("order_status")).alias("status"),
+    )
+    ranked = O.exact_rank(materialize(orders), "ts", "order_id", partition=["status"], buckets=16)
+    return ranked.select("order_id", "order_status", "rank")
+
+
+@query(
+    "percentiles_null_groups",
+    statement(
+        """SELECT seller_state, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS median,
+  quantile_cont(price, 0.9) AS q90 FROM v_items JOIN v_sellers USING (seller_id) GROUP BY seller_state""",
+        ["q1", "median", "q90"],
+        dataset=False,
+    ),
+)
+def percentiles_null_groups(ctx: Ctx):
+    """Distributed exact percentiles of groups, one of which is the null group."""
+    items = ctx.tables["order_items"].join(ctx.tables["sellers"], "seller_id").select("seller_state", "price")
+    return percentile_columns(items, "price", {"q1": 0.25, "median": 0.5, "q90": 0.9}, ["seller_state"], buckets=12)

@@ -11,8 +11,8 @@ from ..functions.exprs import attach_one_row
 from ..operators import cohorts as C
 from ..operators.order_frame import build_modeling_frame
 from ..session import checkpoint_dir
-from ..sources.contracts import TABLE_SPECS
-from ..sources.readers import load_tables
+from ..sources.contracts import SPECS_BY_NAME, TABLE_SPECS
+from ..sources.readers import load_tables, read_csv_table
 from .cohort_queries import CORRIDOR_CTE
 from .context import Ctx
 from .frame_queries import FRAME_DOUBLES
@@ -52,6 +52,28 @@ def csv_round_trip(ctx: Ctx):
     return build_modeling_frame(load_tables(ctx.spark, out_dir, fmt="csv"))
 
 
+@query(
+    "csv_by_name",
+    statement(
+        """SELECT CAST(order_id AS VARCHAR) AS order_id, order_item_id,
+  CASE WHEN order_id % 7 = 0 THEN NULL ELSE price END AS price,
+  CASE WHEN order_id % 11 = 0 THEN NULL ELSE freight_value END AS freight_value FROM v_items""",
+        ["price", "freight_value"],
+        dataset=False,
+    ),
+)
+def csv_by_name(ctx: Ctx):
+    """Items from a CSV whose columns stand in reverse order, with null tokens and malformed cells (S3)."""
+    schema = SPECS_BY_NAME["order_items"].schema
+    items = ctx.tables["order_items"]
+    text = {f.name: F.col(f.name).cast("string") for f in schema.fields}
+    text["price"] = F.when(F.col("order_id") % 7 == 0, F.lit("NaN")).otherwise(text["price"])
+    text["freight_value"] = F.when(F.col("order_id") % 11 == 0, F.lit("not a number")).otherwise(text["freight_value"])
+    path = f"{checkpoint_dir(ctx.spark).rstrip('/')}/csv_by_name/{uuid.uuid4().hex}"
+    items.select(*[text[f.name].alias(f.name) for f in reversed(schema.fields)]).write.option("header", True).csv(path)
+    return read_csv_table(ctx.spark, path, schema).select("order_id", "order_item_id", "price", "freight_value")
+
+
 @query(
     "time_span",
     statement(
