@@ -34,11 +34,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in local tests, a scratch folder is created and registered.
+    unset and the master is local, as in tests, a scratch folder is created
+    and registered; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="shipwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():

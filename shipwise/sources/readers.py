@@ -13,28 +13,43 @@ NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
-def _normalise_null_tokens(df: DataFrame) -> DataFrame:
-    cols = []
-    for field in df.schema.fields:
-        c = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
-            c = F.when(c.isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
-        cols.append(c.alias(field.name))
-    return df.select(*cols)
-
-
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with an explicit schema: no inference pass over the data."""
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", False)
-        .option("mode", "PERMISSIVE")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, on_malformed: str = "null") -> DataFrame:
+    """Header CSV bound by column name, whatever the column order in the file.
+
+    Only the header line is read ahead. Missing columns raise; further columns
+    are ignored. The null tokens are null in every column, so no number is
+    ever NaN. A cell that isn't of its column's type is null, or fails the job
+    with ``on_malformed="fail"``; ``malformed_cells`` counts them.
+    """
+    if on_malformed not in ("null", "fail"):
+        raise ValueError(f"on_malformed must be 'null' or 'fail', not {on_malformed!r}")
+    text = _as_text(spark, path, schema)
+    cast = (lambda c, t: c.try_cast(t)) if on_malformed == "null" else (lambda c, t: c.cast(t))
+    return text.select(*[cast(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def malformed_cells(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(column, malformed): per column the non-null cells that aren't of its type."""
+    text = _as_text(spark, path, schema)
+    counts = text.agg(
+        *[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in schema.fields]
     )
-    return _normalise_null_tokens(raw)
+    return counts.unpivot([], [f.name for f in schema.fields], "column", "malformed")
+
+
+def _as_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The schema's columns by header name as strings, null tokens as nulls."""
+    options = {"header": True, "escape": '"', "multiLine": False}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    as_strings = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    # Files of one folder must share a header; a different one raises.
+    raw = spark.read.schema(as_strings).options(**options, enforceSchema=False).csv(path)
+    return raw.select(*[
+        F.when(~F.trim(f"`{f.name}`").isin(NULL_TOKENS), F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields
+    ])
 
 
 def load_tables(spark: SparkSession, data_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 The test tables have no payments, delivery dates or nulls, so the six
 marketplace tables are derived from them with fixed rules (nulls injected by
-key modulus, payments from the first three line items). Everything is a lazy
+key modulus, one payment per line item). Everything is a lazy
 projection or join; nothing is materialised.
 """
 
@@ -68,7 +68,7 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
     )
 
-    order_payments = lineitem.where(F.col("l_linenumber") <= 3).select(
+    order_payments = lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         E(
@@ -138,7 +138,7 @@ v_payments AS (
          WHEN l_returnflag = 'N' THEN 'boleto' ELSE 'voucher' END AS payment_type,
     1 + CAST(l_quantity AS INTEGER) % 10 AS payment_installments,
     l_extendedprice AS payment_value
-  FROM lineitem WHERE l_linenumber <= 3),
+  FROM lineitem),
 v_products AS (
   SELECT p_partkey AS product_id,
     CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_size * 100 AS DOUBLE) END AS product_weight_g,
