@@ -54,6 +54,12 @@ DEFAULTS = {
 LEAVES_TO_DEPTH = {15: 4, 31: 5, 63: 6}
 
 
+def _depth_of_leaves(leaves: int) -> int:
+    if leaves not in LEAVES_TO_DEPTH:
+        raise ValueError(f"no tree depth for {leaves} leaves; known: {sorted(LEAVES_TO_DEPTH)}")
+    return LEAVES_TO_DEPTH[leaves]
+
+
 def build_search_spaces() -> dict[str, dict[str, list]]:
     return {k: {p: list(v) for p, v in space.items()} for k, space in SEARCH_SPACES.items()}
 
@@ -118,7 +124,7 @@ def booster_estimator(params: dict, seed: int = SEED, validation_col: str | None
         weightCol=WEIGHT,
         maxIter=int(params.get("model__max_iter", 500)),
         stepSize=float(params.get("model__learning_rate", 0.05)),
-        maxDepth=LEAVES_TO_DEPTH.get(int(params.get("model__max_leaf_nodes", 31)), 5),
+        maxDepth=_depth_of_leaves(int(params.get("model__max_leaf_nodes", 31))),
         minInstancesPerNode=int(params.get("model__min_samples_leaf", 20)),
         maxBins=64,
         seed=seed,

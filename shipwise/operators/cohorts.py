@@ -127,10 +127,11 @@ def window_quantiles(dataset: DataFrame, key: str, value: str = "estimated_deliv
 def box_stats(dataset: DataFrame, value: str, by: str = TARGET) -> DataFrame:
     """Box-plot numbers per class (A20): quartiles, 1.5 IQR whiskers, outlier count.
 
-    Exact quartiles per class, then whiskers and outliers after joining the
-    (one row per class) quartile table back to the rows.
+    Exact quartiles per class, then whiskers and outliers. The bounds of the
+    classes (a handful) reach the rows as one map, so no row is shuffled by
+    its class. Rows of a null class are left out.
     """
-    rows = dataset.where(F.col(value).isNotNull())
+    rows = dataset.where(F.col(value).isNotNull() & F.col(by).isNotNull())
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     quart = (
         counts.join(percentile_columns(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]), by)
@@ -139,9 +140,11 @@ def box_stats(dataset: DataFrame, value: str, by: str = TARGET) -> DataFrame:
     )
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
+    bounds = quart.select(F.map_from_entries(F.collect_list(F.struct(F.col(by), F.struct("_lo", "_hi")))).alias("_bounds"))
     stats = (
-        rows.select(by, value)
-        .join(quart.select(by, "_lo", "_hi"), by)
+        X.attach_one_row(rows.select(by, value), bounds)
+        .withColumn("_class", F.element_at("_bounds", F.col(by)))
+        .withColumns({c: F.col("_class").getField(c) for c in ("_lo", "_hi")})
         .groupBy(by)
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),

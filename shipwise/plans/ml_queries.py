@@ -17,7 +17,7 @@ from ..ml.importance import permutation_importance as perm_op
 from ..ml.job import JobConfig, run_training, scored_for_metrics
 from ..session import materialize
 from ..ml.preprocess import ModeImputer, OrdinalMapper, median_table, mode_table, one_hot_stages
-from ..ml.tuning import min_rank, tune_model
+from ..ml.tuning import cv_results, json_text, min_rank, summarize_tuning_results, tune_model
 from ..operators import ordering as O
 from ..operators.features import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 from ..operators.metrics import metric_bundle
@@ -230,3 +230,40 @@ def min_rank_selection(ctx: Ctx):
     ranked = min_rank(_category_stats(ctx).select("primary_category", "orders", "late_rate"), "late_rate")
     return ranked.withColumn("selected", F.col("rank") == 1)
 
+
+
+# A tuning report from given fold scores: twelve settings, four folds, with
+# scores taken from the orders instead of fitted models.
+@query(
+    "tuning_report",
+    statement(
+        """SELECT 'random_forest' AS model, CAST(rank() OVER (ORDER BY m DESC) AS INTEGER) AS cv_rank,
+  m AS cv_mean_average_precision, s AS cv_std_average_precision, tm AS cv_mean_train_average_precision,
+  ts AS cv_std_train_average_precision, params, rank() OVER (ORDER BY m DESC) = 1 AS selected
+FROM (
+  SELECT params, avg(test_ap) AS m, stddev_pop(test_ap) AS s, avg(train_ap) AS tm, stddev_pop(train_ap) AS ts
+  FROM (
+    SELECT '{"max_depth": ' || (order_id % 12) // 4 || ', "min_samples": ' || order_id % 4 || '}' AS params,
+      round(avg(CAST(customer_id % 1000 AS DOUBLE)), 1) / 1000 AS test_ap, round(avg(CAST(customer_id % 500 AS DOUBLE)), 1) / 500 AS train_ap
+    FROM v_orders GROUP BY params, (order_id // 12) % 4) f
+  GROUP BY params) c""",
+        ["cv_mean_average_precision", "cv_std_average_precision", "cv_mean_train_average_precision",
+         "cv_std_train_average_precision"],
+        dataset=False,
+    ),
+)
+def tuning_report(ctx: Ctx):
+    """Folds to ranked settings with their JSON text."""
+    config, fold = F.col("order_id") % 12, F.floor(F.col("order_id") / 12) % 4
+    scores = (
+        ctx.tables["orders"]
+        .groupBy(config.alias("config"), fold.alias("fold"))
+        .agg(
+            (F.round(F.avg((F.col("customer_id") % 1000).cast("double")), 1) / 1000).alias("test_ap"),
+            (F.round(F.avg((F.col("customer_id") % 500).cast("double")), 1) / 500).alias("train_ap"),
+        )
+        .withColumn("params", json_text(F.create_map(
+            F.lit("min_samples"), (F.col("config") % 4).cast("int"), F.lit("max_depth"), F.floor(F.col("config") / 4).cast("int"),
+        )))
+    )
+    return summarize_tuning_results("random_forest", cv_results(scores))

@@ -85,3 +85,32 @@ def test_csv_is_bound_by_name(spark, tmp_path):
     (tmp_path / "short.csv").write_text("order_id,price\no1,1\n")
     with pytest.raises(ValueError, match="lacks the columns"):
         read_csv_table(spark, str(tmp_path / "short.csv"), schema)
+
+
+def test_json_text_keeps_separators_inside_values(spark):
+    from shipwise.ml.tuning import json_text
+
+    frame = spark.createDataFrame([({"b": 'x":y,"z', "a": "1"}, {"n": 2, "k": None})], "s map<string,string>, n map<string,int>")
+    got = frame.select(json_text("s").alias("s"), json_text("n").alias("n")).first()
+    assert got["s"] == '{"a": "1", "b": "x\\":y,\\"z"}' and got["n"].startswith('{"k": ') and got["n"].endswith('"n": 2}')
+
+
+def test_unknown_leaf_count_raises():
+    from shipwise.ml.models import _depth_of_leaves
+
+    assert _depth_of_leaves(31) == 5
+    with pytest.raises(ValueError, match="no tree depth"):
+        _depth_of_leaves(100)
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from shipwise.session import checkpoint_dir
+
+    session = SimpleNamespace(
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"),
+        conf=SimpleNamespace(get=lambda *_: None),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
