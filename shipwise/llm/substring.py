@@ -22,7 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, lean, narrow, release, scalar_row, split_words, text_chunks
+from .common import column, lean, narrow, release, scalar_row, sorted_distinct, split_words, text_chunks
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -88,7 +88,7 @@ def _report(size: int, n_buckets: int):
 
         def flush() -> Iterator[pa.RecordBatch]:
             for block, parts in held.items():
-                rows = list(_blobs(np.unique(np.concatenate(parts)), n_buckets))
+                rows = list(_blobs(sorted_distinct(np.concatenate(parts)), n_buckets))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[0] for r in rows]), pa.array([block] * len(rows)), pa.array([r[1] for r in rows])],
@@ -104,7 +104,7 @@ def _report(size: int, n_buckets: int):
                 at, rolled = window_hashes(word_hashes(words), starts, size)
                 owner = blocks[lo + np.searchsorted(starts, at, side="right") - 1]
                 for b in np.unique(owner):
-                    held.setdefault(int(b), []).append(np.unique(rolled[owner == b]))
+                    held.setdefault(int(b), []).append(sorted_distinct(rolled[owner == b]))
                 n_held += len(rolled)
                 if n_held > _HELD_WINDOWS:
                     yield from flush()
@@ -126,7 +126,7 @@ def _count_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     least = np.repeat(blocks[first], np.diff(np.append(first, len(values))))
     later = blocks > least
     values, blocks = values[later], blocks[later]
-    out = [(int(b), pack_sorted(np.unique(values[blocks == b]))) for b in np.unique(blocks)]
+    out = [(int(b), pack_sorted(sorted_distinct(values[blocks == b]))) for b in np.unique(blocks)]
     return pd.DataFrame(out, columns=["block", "blob"])
 
 
@@ -152,12 +152,12 @@ def _resolve(size: int, digest: bool):
         texts = docs["text"].combine_chunks().cast(pa.string())
         seen = [unpack_sorted(b) for b in earlier["blob"].to_pylist()]
         seen = np.sort(np.concatenate(seen)) if seen else np.zeros(0, np.uint64)
-        pieces, all_at, all_rolled, all_doc = [], [], [], []
+        n_words, all_at, all_rolled, all_doc = [], [], [], []
         for lo, hi in text_chunks(texts):
             words, starts = split_words(texts.slice(lo, hi - lo))
             at, rolled = window_hashes(word_hashes(words), starts, size)
             row = np.searchsorted(starts, at, side="right") - 1
-            pieces.append((lo, hi, words, starts))
+            n_words.append(np.diff(starts))
             keep = known[lo + row]
             all_at.append((at - starts[row])[keep])
             all_rolled.append(rolled[keep])
@@ -176,20 +176,18 @@ def _resolve(size: int, digest: bool):
         by_doc = np.argsort(doc, kind="stable")
         at, doc = at[by_doc], doc[by_doc]
         ends = np.searchsorted(doc, np.arange(len(ids) + 1))
-        counts, removed, kept = [], [], []
-        for lo, hi, words, starts in pieces:
-            for k in range(lo, hi):
-                own = words.slice(starts[k - lo], starts[k - lo + 1] - starts[k - lo])
-                n, mask = len(own), None
-                if ends[k + 1] > ends[k]:
-                    mask = covered_words(n, at[ends[k] : ends[k + 1]], size)
-                counts.append(n)
-                removed.append(0 if mask is None else int(mask.sum()))
-                if digest:
-                    plain = (own if mask is None else own.filter(pa.array(~mask))).to_pylist()
-                    kept.append(hashlib.sha256(" ".join(plain).encode()).hexdigest())
-                else:
-                    kept.append(texts[k].as_py() if mask is None else " ".join(own.filter(pa.array(~mask)).to_pylist()))
+        counts, removed, kept = np.concatenate([np.zeros(0, np.int64), *n_words]), [], []
+        for k, text in enumerate(texts):
+            mask = covered_words(counts[k], at[ends[k] : ends[k + 1]], size) if ends[k + 1] > ends[k] else None
+            removed.append(0 if mask is None else int(mask.sum()))
+            if mask is None and not digest:
+                kept.append(text.as_py())
+                continue
+            own = (text.as_py() or "").encode().split()  # bytes: the same separators
+            if mask is not None:
+                own = [w for w, gone in zip(own, mask.tolist(), strict=True) if not gone]
+            plain = b" ".join(own)
+            kept.append(hashlib.sha256(plain).hexdigest() if digest else plain.decode())
         rest = [docs[c] for c in docs.column_names if c not in ("block", "doc_id", "text")]
         names = [c for c in docs.column_names if c not in ("block", "doc_id", "text")]
         return pa.table(

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, lean, narrow, split_words, text_chunks
+from .common import column, lean, narrow, sorted_distinct, split_words, text_chunks
 from .labels import scored, training_rows
 
 # Letters of the model; 0 is a word's edge and the last class any other letter.
@@ -216,7 +216,7 @@ def _count_evidence(model: CharModel):
             for lo, hi in text_chunks(texts):
                 words, codes, owner = restorer.words(texts.slice(lo, hi - lo))
                 rows, toxic = Counter(), Counter()
-                pairs = np.unique(owner * len(words) + codes)
+                pairs = sorted_distinct(owner * len(words) + codes)
                 by_row: dict[int, set[str]] = {}
                 for o, c in zip((pairs // len(words)).tolist(), (pairs % len(words)).tolist(), strict=True):
                     by_row.setdefault(o, set()).update(_features(words[c]))
@@ -254,7 +254,7 @@ class Evidence:
 def _signals(words: list[str], codes: np.ndarray, owner: np.ndarray, n_texts: int, weight: np.ndarray) -> np.ndarray:
     """Per text: strongest evidence, the next two words', and the share of words with strong evidence."""
     out = np.zeros((n_texts, 4))
-    pairs = np.unique(owner * len(words) + codes)  # a word counts once a text
+    pairs = sorted_distinct(owner * len(words) + codes)  # a word counts once a text
     own, w = pairs // max(1, len(words)), weight[pairs % max(1, len(words))] if len(words) else np.zeros(len(pairs))
     order = np.lexsort((-w, own))
     own, w = own[order], w[order]
