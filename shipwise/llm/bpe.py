@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import byte_strings
 from .piece_table import PieceTable
 
 # A space before white space of any kind, or at the end of a text.
@@ -89,7 +90,7 @@ class BpeEncoder:
         counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         heads = np.cumsum(counts) - counts
         coded = parts.flatten().dictionary_encode()
-        pieces = coded.dictionary.cast(pa.binary()).to_pylist()
+        pieces = byte_strings(coded.dictionary)
         codes = coded.indices.to_numpy(zero_copy_only=False)
         inner = np.ones(len(codes), bool)
         inner[heads] = False

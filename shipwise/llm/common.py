@@ -89,6 +89,16 @@ def column(batch: pa.RecordBatch, name: str, kind: pa.DataType) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name)).cast(kind)
 
 
+def byte_strings(values: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of a string array without nulls (``to_pylist`` takes ten times as long)."""
+    values = values.cast(pa.binary())
+    if not len(values):
+        return []
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].tolist()
+    data = values.buffers()[2].to_pybytes() if values.buffers()[2] is not None else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def sorted_distinct(values: np.ndarray) -> np.ndarray:
     """The distinct values in order, by sorting (np.unique may hash, which is slower here)."""
     values = np.sort(values)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, lean, narrow, text_chunks
+from .common import byte_strings, column, lean, narrow, text_chunks
 from .piece_table import PieceTable
 
 MARK = "▁"
@@ -104,7 +104,7 @@ class PieceModel:
         heads = np.cumsum(counts[~odd]) - counts[~odd]
         coded = words.dictionary_encode()
         mark = MARK.encode()
-        pieces = [mark + p for p in coded.dictionary.cast(pa.binary()).to_pylist()]
+        pieces = [mark + p for p in byte_strings(coded.dictionary)]
         used = np.zeros(len(pieces), bool)
         codes = coded.indices.to_numpy(zero_copy_only=False)
         inner = np.ones(len(codes), bool)

@@ -22,7 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, lean, narrow, release, scalar_row, sorted_distinct, split_words, text_chunks
+from .common import byte_strings, column, lean, narrow, release, scalar_row, sorted_distinct, split_words, text_chunks
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -35,7 +35,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # any odd number serves
 def word_hashes(words: pa.Array) -> np.ndarray:
     """A 64-bit hash of each word; every distinct word is hashed once."""
     coded = words.dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    distinct = byte_strings(coded.dictionary)
     table = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
     return table[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.uint64)
 

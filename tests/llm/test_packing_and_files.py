@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -18,6 +19,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
 
 
+@lru_cache(maxsize=None)
 def ids_of(text, end):
     return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, end]
 
