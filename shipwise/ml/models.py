@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import itertools
 import random
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -28,6 +30,7 @@ from .preprocess import build_preprocessor
 
 LABEL = "is_late"
 WEIGHT = "class_weight"
+VALIDATION = "is_validation"
 SEED = 42
 
 # Search spaces of the two tuned models.
@@ -45,6 +48,7 @@ BOOSTER_SPACE = {
     "model__l2_regularization": [0.0, 0.1, 1.0],
 }
 SEARCH_SPACES = {"random_forest": FOREST_SPACE, "hist_gradient_boosting": BOOSTER_SPACE}
+# Default settings of the two models.
 DEFAULTS = {
     "random_forest": {"model__n_estimators": 300, "model__min_samples_leaf": 5, "model__max_depth": None,
                       "model__max_features": "sqrt"},
@@ -114,7 +118,7 @@ def forest_estimator(params: dict, seed: int = SEED) -> RandomForestClassifier:
     )
 
 
-def booster_estimator(params: dict, seed: int = SEED, validation_col: str | None = "is_validation") -> GBTClassifier:
+def booster_estimator(params: dict, seed: int = SEED, validation_col: str | None = VALIDATION) -> GBTClassifier:
     kw = {}
     if validation_col:
         kw["validationIndicatorCol"] = validation_col
@@ -152,35 +156,63 @@ class FittedModel:
         )
 
 
-def _validation_flag(train: DataFrame, fraction: float = 0.1, rank_col: str = "rank") -> DataFrame:
+def validation_flag(train: DataFrame, fraction: float = 0.1, rank_col: str = "rank") -> DataFrame:
     """Latest ``fraction`` of the (time-ranked) training rows marked for early stopping."""
     bounds = train.agg(F.min(rank_col).alias("_lo"), F.max(rank_col).alias("_hi"))
     cut = F.col("_lo") + (F.col("_hi") - F.col("_lo") + 1) * (1 - fraction)
-    return attach_one_row(train, bounds).withColumn("is_validation", F.col(rank_col) >= cut).drop("_lo", "_hi")
+    return attach_one_row(train, bounds).withColumn(VALIDATION, F.col(rank_col) >= cut).drop("_lo", "_hi")
 
 
-def fit_model(name: str, train: DataFrame, params: dict | None = None, seed: int = SEED) -> FittedModel:
-    """Fit one of ``dummy_baseline``, ``random_forest``, ``hist_gradient_boosting`` on ranked train rows."""
-    params = dict(DEFAULTS.get(name, {}), **(params or {}))
-    if name == "dummy_baseline":
-        return FittedModel(name, {}, fit_prior(train))
-    if name not in ("random_forest", "hist_gradient_boosting"):
+@dataclass
+class Prepared:
+    """Training rows as label, weight and features, and the preprocessing fitted on them.
+
+    Preprocessing depends on the training rows alone, so all settings of a
+    search share it.
+    """
+
+    preprocessor: PipelineModel
+    rows: DataFrame
+
+
+ENCODINGS = {"random_forest": "onehot", "hist_gradient_boosting": "ordinal"}
+
+
+@contextmanager
+def prepared(name: str, train: DataFrame) -> Iterator[Prepared]:
+    """Weights, validation flag (booster on ranked rows) and fitted preprocessing of ``train``.
+
+    Imputers and indexers scan the rows several times: they are kept (memory,
+    spilling to disk) until the block ends.
+    """
+    if name not in ENCODINGS:
         raise ValueError(f"unknown model {name!r}")
-    weighted = with_class_weights(train)
-    if name == "random_forest":
-        stages = [*build_preprocessor("onehot").getStages(), forest_estimator(params, seed)]
-        data, raw = weighted, False
-    else:
-        has_rank = "rank" in train.columns
-        data = _validation_flag(weighted) if has_rank else weighted
-        stages = [*build_preprocessor("ordinal").getStages(),
-                  booster_estimator(params, seed, "is_validation" if has_rank else None)]
-        raw = True
-    # imputers, indexers and the learner each scan the training rows: keep
-    # them once (memory, spilling to disk) for the duration of the fit
+    data, columns = with_class_weights(train), [LABEL, WEIGHT, "features"]
+    if name == "hist_gradient_boosting" and "rank" in train.columns:
+        data, columns = validation_flag(data), [*columns, VALIDATION]
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = Pipeline(stages=stages).fit(data)
+        preprocessor = build_preprocessor(ENCODINGS[name]).fit(data)
+        yield Prepared(preprocessor, preprocessor.transform(data).select(*columns))
     finally:
         data.unpersist()
-    return FittedModel(name, params, model, margin_from_raw=raw)
+
+
+def fit_learner(name: str, rows: DataFrame, params: dict | None = None, seed: int = SEED) -> FittedModel:
+    """Fit the learner alone on rows of ``prepared``; it scores rows that hold ``features``."""
+    params = dict(DEFAULTS[name], **(params or {}))
+    if name == "random_forest":
+        learner = forest_estimator(params, seed)
+    else:
+        learner = booster_estimator(params, seed, VALIDATION if VALIDATION in rows.columns else None)
+    return FittedModel(name, params, PipelineModel([learner.fit(rows)]), margin_from_raw=name != "random_forest")
+
+
+def fit_model(name: str, train: DataFrame, params: dict | None = None, seed: int = SEED) -> FittedModel:
+    """Fit one of ``dummy_baseline``, ``random_forest``, ``hist_gradient_boosting`` on ranked train rows."""
+    if name == "dummy_baseline":
+        return FittedModel(name, {}, fit_prior(train))
+    with prepared(name, train) as ready:
+        fitted = fit_learner(name, ready.rows, params, seed)
+        stages = [*ready.preprocessor.stages, *fitted.model.stages]
+    return replace(fitted, model=PipelineModel(stages))

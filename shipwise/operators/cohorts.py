@@ -54,14 +54,29 @@ def with_lift(
     groups: DataFrame, dataset: DataFrame, target: str = TARGET, digits: int | None = 2, rate: str = "late_rate"
 ) -> DataFrame:
     """``lift_vs_base = late_rate / base rate`` (F20), rounded half-even when ``digits`` is set."""
+    return _lift(with_scalar(groups, base_rate(dataset, target, "_base_rate")), rate, digits)
+
+
+def _lift(df: DataFrame, rate: str, digits: int | None) -> DataFrame:
     lift = X.safe_ratio(rate, "_base_rate")  # null, not an ANSI error, when nothing is late
     if digits is not None:
         lift = round_half_even(lift, digits)
-    return (
-        with_scalar(groups, base_rate(dataset, target, "_base_rate"))
-        .withColumn("lift_vs_base", lift)
-        .drop("_base_rate")
-    )
+    return df.withColumn("lift_vs_base", lift).drop("_base_rate")
+
+
+def rate_and_lift(
+    df: DataFrame, keys: str | Sequence[str], target: str = TARGET, digits: int | None = 2
+) -> DataFrame:
+    """``rate_by`` with ``lift_vs_base`` against the rate of all rows, those of null keys included.
+
+    Rows are grouped once: the base rate sums the groups, null keys too,
+    before they are dropped.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    sums = [F.count(target).alias("_n"), F.sum(target).alias("_hits")]
+    groups = rate_by(df, keys, target, drop_null_keys=False, extra=sums)
+    base = groups.agg((F.sum("_hits") / F.sum("_n")).alias("_base_rate"))
+    return _lift(with_scalar(groups.dropna(subset=keys), base), "late_rate", digits).drop("_n", "_hits")
 
 
 def min_volume(df: DataFrame, threshold: int, col: str = "orders") -> DataFrame:
@@ -166,6 +181,12 @@ def corridor_stats(dataset: DataFrame, keys: Sequence[str] = CORRIDOR_KEYS) -> D
     return rate_by(dataset, list(keys)).withColumn("is_same_state", F.col(a) == F.col(b))
 
 
+def corridor_lift(dataset: DataFrame, keys: Sequence[str] = CORRIDOR_KEYS) -> DataFrame:
+    """``corridor_stats`` with the unrounded lift against all rows, in one grouping."""
+    a, b = keys
+    return rate_and_lift(dataset, list(keys), digits=None).withColumn("is_same_state", F.col(a) == F.col(b))
+
+
 def corridor_axis_top(corridors: DataFrame, axis: str, k: int) -> DataFrame:
     """Top-k members of one axis by summed volume."""
     return (
@@ -269,8 +290,17 @@ def seller_volume_cohort_frame(dataset: DataFrame, order_items: DataFrame) -> Da
 
 def bucket_cohort(df: DataFrame, bucket: str, labels: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """Rate per bucket, only buckets with rows, with the bucket ordinal."""
-    order = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(bucket)).cast("int") - 1
-    return rate_by(df, bucket, extra=extra).withColumn("bucket_index", order)
+    return rate_by(df, bucket, extra=extra).withColumn("bucket_index", bucket_index(bucket, labels))
+
+
+def bucket_index(bucket: str, labels: Sequence[str]) -> Column:
+    """Ordinal of a bucket label."""
+    return F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(bucket)).cast("int") - 1
+
+
+def bucket_lift(df: DataFrame, bucket: str, labels: Sequence[str]) -> DataFrame:
+    """``bucket_cohort`` with the lift against all rows of ``df``, in one grouping."""
+    return rate_and_lift(df, bucket).withColumn("bucket_index", bucket_index(bucket, labels))
 
 
 def quantile_edges(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:

@@ -231,8 +231,7 @@ VIABLE = f"""viable AS (
 
 
 def _viable(ctx: Ctx):
-    corr = C.min_volume(C.corridor_stats(ctx.dataset), MIN_CORRIDOR_ORDERS)
-    return C.with_lift(corr, ctx.dataset, digits=None)
+    return C.min_volume(C.corridor_lift(ctx.dataset), MIN_CORRIDOR_ORDERS)
 
 
 @query(
@@ -333,7 +332,7 @@ def seller_volume_cohort(ctx: Ctx):
     # one row per dataset order: written once, then read by the edge, bucket and base-rate jobs
     narrow = materialize(C.seller_volume_frame(ctx.dataset, ctx.tables["order_items"]).select("is_late", "seller_orders"))
     cohort = C.with_seller_volume_bucket(narrow)
-    return C.with_lift(C.bucket_cohort(cohort, "seller_volume_bucket", C.SELLER_VOLUME_LABELS), narrow)
+    return C.bucket_lift(cohort, "seller_volume_bucket", C.SELLER_VOLUME_LABELS)
 
 
 ITEM_BUCKET_CTE = """item_bucketed AS (
@@ -356,7 +355,7 @@ def item_count_cohort(ctx: Ctx):
     cohort = ctx.dataset.withColumn(
         "item_count_bucket", X.bucket_right_closed("item_count", C.ITEM_COUNT_EDGES, C.ITEM_COUNT_LABELS)
     )
-    return C.with_lift(C.bucket_cohort(cohort, "item_count_bucket", C.ITEM_COUNT_LABELS), ctx.dataset)
+    return C.bucket_lift(cohort, "item_count_bucket", C.ITEM_COUNT_LABELS)
 
 
 WEIGHT_CTE = (
@@ -411,7 +410,7 @@ def _category_stats(ctx: Ctx):
     )
     primary = C.primary_values(items, "product_category_name", "primary_category")
     cohort = ctx.dataset.join(primary, "order_id", "left")
-    return C.with_lift(C.rate_by(cohort, "primary_category"), ctx.dataset)
+    return C.rate_and_lift(cohort, "primary_category")
 
 
 @query("category_cohort", statement("SELECT * FROM cat_stats", ["late_rate", "lift_vs_base"], ctes=CATEGORY_CTE))
@@ -462,4 +461,4 @@ METADATA_CTE = """meta AS (
 )
 def metadata_cohort(ctx: Ctx):
     cohort = ctx.dataset.withColumn("metadata_bucket", X.completeness_label("missing_product_metadata_share"))
-    return C.with_lift(C.bucket_cohort(cohort, "metadata_bucket", X.METADATA_BUCKETS), ctx.dataset)
+    return C.bucket_lift(cohort, "metadata_bucket", X.METADATA_BUCKETS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..ml import models as MD
 from ..ml.calibration import calibration_summary as calib_op
-from ..ml.calibration import fit_calibrated
+from ..ml.calibration import fit_calibrated, platt_rows
 from ..ml.importance import permutation_importance as perm_op
 from ..ml.job import JobConfig, run_training, scored_for_metrics
 from ..session import materialize
@@ -267,3 +267,99 @@ def tuning_report(ctx: Ctx):
         )))
     )
     return summarize_tuning_results("random_forest", cv_results(scores))
+
+
+LATEST_TENTH = 0.1
+
+
+@query(
+    "validation_flag",
+    statement(
+        f"""SELECT order_id, rank >= (SELECT MIN(rank) + (MAX(rank) - MIN(rank) + 1) * (1 - CAST({LATEST_TENTH} AS DOUBLE)) FROM train)
+  AS is_validation FROM train""",
+        ctes=TRAIN_CTE,
+    ),
+)
+def validation_flag(ctx: Ctx):
+    """M8: the latest tenth of the training rows, on which early stopping looks."""
+    train, _ = _split(ctx)
+    return MD.validation_flag(train, LATEST_TENTH).select("order_id", "is_validation")
+
+
+# Scores that need no model, so that SQL can check what is made of them.
+PLATT_CTE = TRAIN_CTE + """,
+held AS (SELECT is_late, 1 - estimated_delivery_days / 40 AS margin FROM test),
+held_t AS (
+  SELECT margin, CASE WHEN is_late = 1 THEN ((SELECT SUM(is_late) FROM held) + 1) / CAST((SELECT SUM(is_late) FROM held) + 2 AS DOUBLE)
+    ELSE 1 / CAST((SELECT COUNT(*) - SUM(is_late) FROM held) + 2 AS DOUBLE) END AS t FROM held)"""
+
+
+@query(
+    "platt_targets",
+    statement(
+        """SELECT margin, CAST(1 AS DOUBLE) AS target, t AS weight FROM held_t
+UNION ALL SELECT margin, CAST(0 AS DOUBLE) AS target, 1 - t AS weight FROM held_t""",
+        ["margin", "weight"],
+        ctes=PLATT_CTE,
+    ),
+)
+def platt_targets(ctx: Ctx):
+    """The weighted rows of the sigmoid fit, with smoothed targets."""
+    _, test = _split(ctx, for_fitting=True)
+    held = test.withColumn("margin", 1 - F.col("estimated_delivery_days") / 40)
+    return platt_rows(held).select("margin", F.col("_y").alias("target"), F.col("_w").alias("weight"))
+
+
+SCORED_FEATURES = ["estimated_delivery_days", "total_freight_value", "customer_state"]
+REPEATS, SHUFFLE_SEED = 10, 42
+
+
+class WindowScore:
+    """A fixed score in the place of a fitted model."""
+
+    def score(self, df):
+        late = F.greatest(F.lit(0.0), 1 - F.col("estimated_delivery_days") / 40)
+        near = F.when(F.col("customer_state") == F.col("primary_seller_state"), 0.0).otherwise(0.25)
+        return df.withColumn("p", late + F.coalesce("total_freight_value", F.lit(0.0)) / 1000 + near)
+
+
+def _score_sql(est: str, freight: str, state: str) -> str:
+    return f"""GREATEST(CAST(0 AS DOUBLE), 1 - {est} / 40) + COALESCE({freight}, CAST(0 AS DOUBLE)) / 1000
+    + CASE WHEN {state} = t.primary_seller_state THEN CAST(0 AS DOUBLE) ELSE CAST(0.25 AS DOUBLE) END"""
+
+
+def _given(col: str) -> str:
+    return f"CASE WHEN s.f = '{col}' THEN d.{col} ELSE t.{col} END"
+
+
+PERMUTED_CTE = TRAIN_CTE + f""",
+placed AS (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY md5('{SHUFFLE_SEED}|' || order_id), order_id) - 1 AS pos, COUNT(*) OVER () AS n FROM test),
+shifts AS (
+  SELECT f, r, 1 + CAST('0x' || substr(md5('{SHUFFLE_SEED}|' || f || '|' || r), 1, 13) AS BIGINT) % ((SELECT COUNT(*) FROM test) - 1) AS s
+  FROM unnest({SCORED_FEATURES}) a(f), range({REPEATS}) b(r)),
+scores AS (
+  SELECT s.f, s.r, t.is_late AS y, {_score_sql(*[_given(c) for c in SCORED_FEATURES])} AS p
+  FROM placed t CROSS JOIN shifts s JOIN placed d ON d.pos = (t.pos + s.s) % t.n
+  UNION ALL
+  SELECT 'none' AS f, 0 AS r, t.is_late AS y, {_score_sql(*["t." + c for c in SCORED_FEATURES])} AS p FROM test t),
+thr AS (SELECT f, r, p, SUM(y) AS tp, COUNT(*) AS c FROM scores GROUP BY f, r, p),
+cum AS (
+  SELECT f, r, tp, SUM(tp) OVER w AS ctp, SUM(c) OVER w AS cn FROM thr
+  WINDOW w AS (PARTITION BY f, r ORDER BY p DESC ROWS UNBOUNDED PRECEDING)),
+aps AS (SELECT f, r, SUM(tp * ctp / cn) / SUM(tp) AS ap FROM cum GROUP BY f, r)"""
+
+
+@query(
+    "permutation_fixed_score",
+    statement(
+        """SELECT f AS feature, AVG(base - ap) AS importance_mean, STDDEV_POP(base - ap) AS importance_std
+FROM aps, (SELECT ap AS base FROM aps WHERE f = 'none') b WHERE f <> 'none' GROUP BY f""",
+        ["importance_mean", "importance_std"],
+        ctes=PERMUTED_CTE,
+    ),
+)
+def permutation_fixed_score(ctx: Ctx):
+    """M21 at the reference's ten repeats, on a score that needs no model."""
+    _, test = _split(ctx, for_fitting=True)
+    return perm_op(WindowScore(), test, SCORED_FEATURES, repeats=REPEATS, seed=SHUFFLE_SEED)
