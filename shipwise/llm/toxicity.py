@@ -35,14 +35,22 @@ LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "#": "h", "%": "x",
 }
+MASKS = "*#_?"  # may stand for any letter
 # Channel costs in nats. A sign that looks like a letter seldom stands for
-# nothing; a gap ends a word among letters spelled out with spaces.
-SUBSTITUTE, VANISH, LOST, MASKED, SQUEEZE, GAP = 1.0, 0.7, 5.0, 3.0, 0.3, 2.0
+# nothing, at a word's edge more often; a gap ends a word among letters spelled
+# out with spaces.
+SUBSTITUTE, VANISH, LOST, EDGE, MASKED, SQUEEZE, GAP = 1.0, 0.7, 5.0, 2.0, 3.0, 0.3, 2.0
 N_BEST, BEAM, MAX_DECODE = 3, 48, 48
 EDGE_SIGNS = ".,;:!?\"'()[]{}<>#*%&~_/\\|=+^-«»“”‘’…"
+SIGNS = "".join(dict.fromkeys([*LOOKS_LIKE, *MASKS]))
+OUTER_SIGNS = "".join(c for c in EDGE_SIGNS if c not in SIGNS)
 MAX_TRAIN_ROWS, MAX_TRAIN_BYTES = 12_000, 1 << 16
 MIN_TOXIC_ROWS, MAX_EVIDENCE, STARTS = 3, 20_000, (4, 5, 6)
 _RUN = "|".join(c * 3 for c in LETTERS)
+# A sign that may stand for a letter, next to a letter or another such sign.
+_SIGN = "[" + re.escape(SIGNS) + "]"
+_SIGNED = rf"{_SIGN}(?:\p{{L}}|{_SIGN})|\p{{L}}{_SIGN}"
+_READABLE = r"[\p{L}" + re.escape("".join(LOOKS_LIKE)) + "]"
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_]|[0-9@$!|])(?:[ \t]+(?:[^\W_]|[@$!|*])){2,}(?!\S)")
 
 
@@ -75,9 +83,28 @@ def _plain_words(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _disguised(distinct: pa.Array) -> np.ndarray:
-    """Words with a letter that hold signs or digits too, or a letter three times in a row."""
+    """Words that hold signs or digits too, or a letter three times in a row.
+
+    A word without a letter counts if it has signs that may stand for letters
+    side by side.
+    """
     mixed = pc.and_(pc.match_substring_regex(distinct, r"\p{L}"), pc.match_substring_regex(distinct, r"[^\p{L}\p{M}]"))
-    return pc.or_(mixed, pc.match_substring_regex(distinct, _RUN)).to_numpy(zero_copy_only=False)
+    return pc.or_(pc.or_(mixed, _signed(distinct)), pc.match_substring_regex(distinct, _RUN)).to_numpy(zero_copy_only=False)
+
+
+def _signed(distinct: pa.Array) -> pa.Array:
+    return pc.and_(pc.match_substring_regex(distinct, _SIGNED), pc.match_substring_regex(distinct, _READABLE))
+
+
+def _edged_words(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-case distinct words with a sign at an edge that may stand for a letter, and each word's code (or -1)."""
+    coded = words.dictionary_encode()
+    outer = pc.utf8_lower(pc.utf8_trim(coded.dictionary, characters=OUTER_SIGNS))
+    edged = pc.and_(pc.not_equal(outer, pc.utf8_trim(outer, characters=EDGE_SIGNS)), _signed(outer))
+    kept = outer.filter(edged).dictionary_encode()
+    code = np.full(len(outer), -1)
+    code[edged.to_numpy(zero_copy_only=False)] = kept.indices.to_numpy(zero_copy_only=False)
+    return kept.dictionary, code[coded.indices.to_numpy(zero_copy_only=False)]
 
 
 def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,14 +147,19 @@ def char_model(docs: DataFrame) -> CharModel:
 def _options(word: str) -> list[list[tuple[str, float]]]:
     """The lattice: per place, letters with their channel costs ('' vanishes)."""
     out = []
+    first, last = len(word) - len(word.lstrip(EDGE_SIGNS)), len(word.rstrip(EDGE_SIGNS))
     for k, c in enumerate(word):
         if c.isalpha():
             run = k > 0 and word[k - 1] == c and c * 3 in word[max(0, k - 2) : k + 2]
             out.append([(c, 0.0), ("", SQUEEZE)] if run else [(c, 0.0)])
             continue
         like = LOOKS_LIKE.get(c, "")
-        out.append([("", LOST if like else VANISH)] + [(x, SUBSTITUTE) for x in like])
-        if c in "*#_?":
+        vanish = LOST if like else VANISH
+        if (k < first or k >= last) and c in SIGNS:
+            # The word without its edge signs is read besides: here they rather are letters.
+            vanish = LOST if c in MASKS else EDGE
+        out.append([("", vanish)] + [(x, SUBSTITUTE) for x in like])
+        if c in MASKS:
             out[-1] += [(x, MASKED) for x in LETTERS[:26]]
     return out
 
@@ -169,6 +201,7 @@ class Restorer:
         """(distinct restored words, code of every occurrence, text of every occurrence).
 
         Plain words stand for themselves, disguised ones for their readings;
+        words with edge signs that may be letters add the readings with these;
         words spelled out letter by letter add the readings of the whole. A
         disguised word of over ``MAX_DECODE`` characters is read in pieces of
         that size.
@@ -181,9 +214,11 @@ class Restorer:
         known = {w: k for k, w in enumerate(words)}
         readings = {int(k): [known.setdefault(r, len(known)) for r in self._readings(words[k])] for k in hidden}
         out_codes, out_owner = [codes], [owner]
-        if readings:
-            masked = np.isin(codes, hidden)
-            more = [(r, o) for c, o in zip(codes[masked].tolist(), owner[masked].tolist(), strict=True) for r in readings[c]]
+        edged, at = _edged_words(raw)
+        signed = [[known.setdefault(r, len(known)) for r in self._readings(w)] for w in edged.to_pylist()]
+        hits = [(readings, codes, np.isin(codes, hidden)), (signed, at, at >= 0)]
+        for found, of, there in hits:
+            more = [(r, o) for c, o in zip(of[there].tolist(), owner[there].tolist(), strict=True) for r in found[c]]
             if more:
                 out_codes.append(np.array([m[0] for m in more]))
                 out_owner.append(np.array([m[1] for m in more]))

@@ -11,7 +11,7 @@ import pytest
 from shipwise.llm.nn_descent import nearest
 from shipwise.llm.quality_model import GatedAttention, keep_scored, quality_scores
 from shipwise.llm.sentence_pieces import PieceDecoder, PieceModel, piece_digests
-from shipwise.llm.toxicity import CharModel, N_CLASSES, _trigrams, restore, toxicity_scores
+from shipwise.llm.toxicity import CharModel, N_CLASSES, Restorer, _trigrams, restore, toxicity_scores
 
 SF = "/root/testdata/sf0.01"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -159,6 +159,25 @@ def test_disguised_toxic_documents_score_high(spark):
     assert all(scores[1000 + i] > 0.5 for i in range(len(hidden))) and scores[2000] < 0.5 and scores[2001] < 0.5
 
 
+EDGED = [("|oser", "loser"), ("sh!+", "shit"), ("(unt", "cunt"), ("#ate", "hate"), ("!d!ot", "idiot"), ("4$$", "ass"), ("$7@8", "stab"), ('"!diot!",', "idiot"), ("$tup!d!", "stupid")]
+
+
+@pytest.mark.parametrize(("seen", "want"), EDGED)
+def test_signs_at_word_edges_are_read_as_letters(seen, want):
+    clean = ["loser", "shit", "cunt", "hate", "idiot", "ass", "stab", "stupid", "fate", "the", "and", "ring", "nation"]
+    restorer = Restorer(CharModel(_trigrams(clean, np.full(len(clean), 50))))
+    words, codes, owner = restorer.words(pa.array(["the ring", f"the {seen} nation", None]))
+    assert want in {words[c] for c, o in zip(codes, owner, strict=True) if o == 1}
+    assert {words[c] for c, o in zip(codes, owner, strict=True) if o == 0} == {"the", "ring"}
+
+
+def test_masked_word_ends_are_read_as_letters():
+    model = CharModel(_trigrams(["fool", "the", "and"], np.array([50, 50, 50])))
+    assert restore("f***", model)[0] == "fool"
+    words, *_ = Restorer(model).words(pa.array(["the f***", "*the* and?"]))
+    assert {"fool", "the", "and"} <= set(words)
+
+
 # ------------------------------------------------------------------ search
 
 
