@@ -38,15 +38,18 @@ LOOKS_LIKE = {
 MASKS = "*#_?"  # may stand for any letter
 # Channel costs in nats. A sign that looks like a letter seldom stands for
 # nothing, at a word's edge more often; a gap ends a word among letters spelled
-# out with spaces.
-SUBSTITUTE, VANISH, LOST, EDGE, MASKED, SQUEEZE, GAP = 1.0, 0.7, 5.0, 2.0, 3.0, 0.3, 2.0
-N_BEST, BEAM, MAX_DECODE = 3, 48, 48
+# out with spaces, a break at a sign.
+SUBSTITUTE, VANISH, LOST, EDGE, MASKED, SQUEEZE, GAP, BREAK = 1.0, 0.7, 5.0, 2.0, 3.0, 0.3, 2.0, 0.7
+N_BEST, BEAM = 3, 48
+# Every EMIT characters the words that ended over LAG letters ago are given out.
+EMIT, LAG, LONGEST, MAX_CACHED = 48, 24, 256, 64
 EDGE_SIGNS = ".,;:!?\"'()[]{}<>#*%&~_/\\|=+^-«»“”‘’…"
 SIGNS = "".join(dict.fromkeys([*LOOKS_LIKE, *MASKS]))
 OUTER_SIGNS = "".join(c for c in EDGE_SIGNS if c not in SIGNS)
 MAX_TRAIN_ROWS, MAX_TRAIN_BYTES = 12_000, 1 << 16
 MIN_TOXIC_ROWS, MAX_EVIDENCE, STARTS = 3, 20_000, (4, 5, 6)
 _RUN = "|".join(c * 3 for c in LETTERS)
+_RUNS = re.compile(r"(.)\1\1")
 # A sign that may stand for a letter, next to a letter or another such sign.
 _SIGN = "[" + re.escape(SIGNS) + "]"
 _SIGNED = rf"{_SIGN}(?:\p{{L}}|{_SIGN})|\p{{L}}{_SIGN}"
@@ -144,10 +147,13 @@ def char_model(docs: DataFrame) -> CharModel:
 # -------------------------------------------------------------- deobfuscation
 
 
-def _options(word: str) -> list[list[tuple[str, float]]]:
-    """The lattice: per place, letters with their channel costs ('' vanishes)."""
+def _options(word: str, inner: bool = False) -> list[list[tuple[str, float]]]:
+    """The lattice: per place, letters with their channel costs ('' vanishes).
+
+    With ``inner`` letters stand before the word.
+    """
     out = []
-    first, last = len(word) - len(word.lstrip(EDGE_SIGNS)), len(word.rstrip(EDGE_SIGNS))
+    first, last = 0 if inner else len(word) - len(word.lstrip(EDGE_SIGNS)), len(word.rstrip(EDGE_SIGNS))
     for k, c in enumerate(word):
         if c.isalpha():
             run = k > 0 and word[k - 1] == c and c * 3 in word[max(0, k - 2) : k + 2]
@@ -164,47 +170,111 @@ def _options(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(word: str, model: CharModel, n_best: int = N_BEST, spelled: bool = False) -> list[str]:
-    """The ``n_best`` most likely readings of a lower-case disguised word, best first.
+def _finished(text: str) -> int:
+    """Where the words begin that ended at most ``LAG`` letters ago, or have not ended."""
+    return text.rfind(" ", 0, max(0, len(text) - LAG)) + 1
+
+
+def _best(paths: list[tuple[float, str]], n_best: int) -> list[tuple[float, str]]:
+    """The ``n_best`` best paths of different text."""
+    return heapq.nlargest(n_best, ((s, t) for t, s in {t: s for s, t in sorted(paths)}.items()))
 
-    A state is the last two letters; each keeps its best ``n_best`` paths.
-    With ``spelled`` a reading may hold spaces between words.
+
+def _reached(states: dict, options: list[tuple[str, float]], log: np.ndarray) -> dict:
+    """The paths into the ``BEAM`` best states after one more place.
+
+    The beam is chosen by the scores: only the paths of its states are built.
     """
-    log, edge, other = model.log, 0, N_CLASSES - 1
-    states: dict[tuple[int, int], list[tuple[float, str]]] = {(edge, edge): [(0.0, "")]}
-    for k, options in enumerate(_options(word)):
-        if spelled and k:
-            ended = [(s + float(log[a, b, edge]) - GAP, t + " ") for (a, b), ps in states.items() if b != edge for s, t in ps]
-            states = {**states, (edge, edge): heapq.nlargest(n_best, ended)}
-        reached: dict[tuple[int, int], list[tuple[float, str]]] = {}
-        for (a, b), paths in states.items():
-            for letter, cost in options:
-                if letter:
-                    k = _CLASS.get(letter, other)
-                    to, add = (b, k), float(log[a, b, k]) - cost
-                else:
-                    to, add = (a, b), -cost
-                reached.setdefault(to, []).extend((s + add, t + letter) for s, t in paths)
-        best = sorted(reached.items(), key=lambda x: -max(x[1])[0])[:BEAM]
-        states = {to: heapq.nlargest(n_best, set(paths)) for to, paths in best}
-    final = [(s + float(log[a, b, edge]), t) for (a, b), paths in states.items() for s, t in paths]
+    keys = list(states)
+    classes = [_CLASS.get(x, N_CLASSES - 1) if x else -1 for x, _ in options]
+    if len(keys) * len(options) <= BEAM:
+        out: dict = {}
+        for a, b in keys:
+            for (letter, cost), k in zip(options, classes, strict=True):
+                add = (float(log[a, b, k]) if letter else 0.0) - cost
+                out.setdefault((b, k) if letter else (a, b), []).extend((s + add, t + letter) for s, t in states[a, b])
+        return out
+    a, b = np.array(keys).T
+    add = np.where(np.array(classes) < 0, 0.0, log[a, b][:, classes]) - np.array([c for _, c in options])
+    order = np.argsort(-(np.array([states[k][0][0] for k in keys])[:, None] + add), axis=None, kind="stable")
+    out = {}
+    for at in order.tolist():
+        i, j = divmod(at, len(options))
+        out.setdefault((keys[i][1], classes[j]) if classes[j] >= 0 else keys[i], [])
+        if len(out) == BEAM:
+            break
+    ending: dict[int, list[int]] = {}
+    for i, (_, last) in enumerate(keys):
+        ending.setdefault(last, []).append(i)
+    place: dict[int, list[int]] = {}
+    for j, k in enumerate(classes):
+        place.setdefault(k, []).append(j)
+    row, add = {k: i for i, k in enumerate(keys)}, add.tolist()
+    for to, paths in out.items():
+        steps = [(i, j) for i in ending.get(to[0], ()) for j in place.get(to[1], ())]
+        steps += [(row[to], j) for j in place.get(-1, ()) if to in row]
+        for i, j in steps:
+            letter, more = options[j][0], add[i][j]
+            paths.extend((s + more, t + letter) for s, t in states[keys[i]])
+    return out
+
+
+def restore(word: str, model: CharModel, n_best: int = N_BEST, spelled: bool = False, ended: dict[str, None] | None = None) -> list[str]:
+    """The ``n_best`` most likely readings of a lower-case disguised word, best first."""
+    return [t.strip() for t in _search(word, model, n_best, spelled, ended)]
+
+
+def _search(
+    word: str, model: CharModel, n_best: int, spelled: bool = False, ended: dict[str, None] | None = None, start: tuple[int, int] | None = None
+) -> list[str]:
+    """The readings of ``restore``, or how a word goes on after the two letters ``start``.
+
+    A state is the last two letters; each keeps its best ``n_best`` paths. A
+    reading may hold spaces between words at signs, with ``spelled`` anywhere.
+    With ``ended`` the search goes on over any length in bounded memory: words
+    that the best readings have finished go there, the readings returned are of
+    the rest, and an unfinished word is held to its first ``LONGEST`` letters
+    (features other than the whole word see at most six).
+    """
+    log, edge = model.log, 0
+    states: dict[tuple[int, int], list[tuple[float, str]]] = {start or (edge, edge): [(0.0, "")]}
+    for at, options in enumerate(_options(word, start is not None)):
+        sign = not word[at].isalnum()
+        if spelled or sign:
+            gaps = [(s + float(log[a, b, edge]) - (BREAK if sign else GAP), t + " ") for (a, b), ps in states.items() if b != edge for s, t in ps]
+            if gaps:
+                states[edge, edge] = _best(states.get((edge, edge), []) + gaps, n_best)
+        reached = _reached(states, options, log)
+        states = {to: paths if len(paths) == 1 else _best(paths, n_best) for to, paths in reached.items()}
+        if ended is not None and at % EMIT == EMIT - 1:
+            for _, t in heapq.nlargest(n_best, (x for ps in states.values() for x in ps)):
+                ended.update(dict.fromkeys(t[: _finished(t)].split()))
+            states = {to: _best([(s, _held(t)) for s, t in ps], n_best) for to, ps in states.items()}
+    final = [(s + (float(log[a, b, edge]) if b != edge else 0.0), t.rstrip()) for (a, b), paths in states.items() for s, t in paths]
     return list(dict.fromkeys(t for _, t in heapq.nlargest(4 * n_best, final)))[:n_best]
 
 
+def _held(text: str) -> str:
+    *whole, last = text[_finished(text) :].split(" ")
+    return " ".join([*whole, last[:LONGEST]])
+
+
 class Restorer:
     """Readings of disguised words, a bounded number kept between batches."""
 
     def __init__(self, model: CharModel):
-        self.read = lru_cache(maxsize=100_000)(lambda word, spelled: tuple(restore(word, model, spelled=spelled)))
+        self.model = model
+        # Words of the same last letters before the same signs go on in the same way.
+        self._tails = lru_cache(maxsize=100_000)(lambda tail, start: _search(tail, model, N_BEST, start=start))
+        # Long strings seldom come twice, and would fill the cache.
+        self._cached = lru_cache(maxsize=100_000)(self._read)
 
     def words(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(distinct restored words, code of every occurrence, text of every occurrence).
 
         Plain words stand for themselves, disguised ones for their readings;
         words with edge signs that may be letters add the readings with these;
-        words spelled out letter by letter add the readings of the whole. A
-        disguised word of over ``MAX_DECODE`` characters is read in pieces of
-        that size.
+        words spelled out letter by letter add the readings of the whole.
         """
         raw, starts = split_words(texts)
         distinct, codes = _plain_words(raw)
@@ -231,9 +301,19 @@ class Restorer:
                 out_owner.append(np.full(len(own), i))
         return list(known), np.concatenate(out_codes).astype(np.int64), np.concatenate(out_owner).astype(np.int64)
 
-    def _readings(self, word: str, spelled: bool = False) -> list[str]:
-        pieces = range(0, len(word), MAX_DECODE)
-        return [w for k in pieces for r in self.read(word[k : k + MAX_DECODE], spelled) for w in r.split()]
+    def _readings(self, word: str, spelled: bool = False) -> tuple[str, ...]:
+        """The words of the most likely readings."""
+        return (self._cached if len(word) <= MAX_CACHED else self._read)(word, spelled)
+
+    def _read(self, word: str, spelled: bool) -> tuple[str, ...]:
+        ended: dict[str, None] = {}
+        n = next((k for k, c in enumerate(word) if not c.isalpha()), 0)
+        if n and len(word) <= MAX_CACHED and not spelled and not _RUNS.search(word, 0, n):
+            start = tuple(_CLASS.get(c, N_CLASSES - 1) for c in word[max(0, n - 2) : n])
+            rest = [word[:n] + t for t in self._tails(word[n:], (0, 0, *start)[-2:])]
+        else:
+            rest = restore(word, self.model, spelled=spelled, ended=ended if len(word) > MAX_CACHED else None)
+        return tuple(dict.fromkeys([*ended, *(w for r in rest for w in r.split())]))
 
 
 # ------------------------------------------------------------------- evidence

@@ -178,6 +178,34 @@ def test_masked_word_ends_are_read_as_letters():
     assert {"fool", "the", "and"} <= set(words)
 
 
+COMMON = ["the", "day", "you", "are", "idiot", "stupid", "loser", "and", "ring", "nation", "garden", "window", "morning"]
+LONG = [
+    ("st" + "u" * 50 + "pid", {"stupid"}),
+    ("day.idiot", {"day", "idiot"}),
+    ("you-idiot", {"you", "idiot"}),
+    ("you--!d!ot", {"you", "idiot"}),
+    ("y.o.u.i.d.i.o.t", {"you", "idiot"}),
+    (".".join("theidiotandtheloser"), {"the", "idiot", "and", "loser"}),
+    ("/".join(["garden", "window", "morning"] * 6 + ["1d10t", "and", "st*pid"]), {"idiot", "stupid", "garden", "window", "morning"}),
+    (" ".join("thegardenandthewindowandthemorningandthestupidnationandtheloser"), {"stupid", "nation", "loser", "garden"}),
+    ("/".join(["garden", "window"] * 400 + ["1d10t"] + ["morning"] * 300 + ["st*pid"]), {"idiot", "stupid"}),
+]
+
+
+@pytest.mark.parametrize(("seen", "want"), LONG)
+def test_long_and_joined_words_are_read_whole(seen, want):
+    restorer = Restorer(CharModel(_trigrams(COMMON, np.full(len(COMMON), 50))))
+    words, codes, _ = restorer.words(pa.array([seen]))
+    assert want <= {words[c] for c in codes}
+
+
+@pytest.mark.parametrize("seen", ["you-1d10t", "y0u", "day###", "stupi***", "ring.$$$", "e.g.day", "o0o", "stuuu-pid"])
+def test_shared_word_ends_read_as_the_whole_word(seen):
+    model = CharModel(_trigrams(COMMON, np.full(len(COMMON), 50)))
+    want = {w for r in restore(seen, model) for w in r.split()}
+    assert set(Restorer(model)._readings(seen)) == want
+
+
 # ------------------------------------------------------------------ search
 
 
