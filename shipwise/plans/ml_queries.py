@@ -1,8 +1,8 @@
 """Registered queries: preprocessing, models, tuning, calibration, importance (build steps 8-10).
 
-Model queries use small settings (few trees, two configurations, two folds)
-so the check stays quick. The full search (12 x 4) is the ``JobConfig``
-default. Learned scores have no SQL counterpart: they get a rows-only check.
+Model queries run at the reference's sizes: ``JobConfig()`` for the search,
+folds and repeats, ``models.DEFAULTS`` for single fits. Learned scores have no
+SQL counterpart: they get a rows-only check.
 """
 
 from __future__ import annotations
@@ -27,10 +27,7 @@ from .oracle import mode_cte, statement
 from .ordering_queries import RANKED_CTE, TEST_FRACTION
 from .registry import query
 
-SMALL_FOREST = {"model__n_estimators": 20, "model__max_depth": 8, "model__min_samples_leaf": 5,
-                "model__max_features": "sqrt"}
-SMALL_BOOSTER = {"model__max_iter": 15, "model__learning_rate": 0.1, "model__max_leaf_nodes": 15,
-                 "model__min_samples_leaf": 20}
+JOB = JobConfig()
 
 
 def _split(ctx: Ctx, for_fitting: bool = False):
@@ -156,24 +153,21 @@ def prior_baseline(ctx: Ctx):
 @query("random_forest_scores")
 def random_forest_scores(ctx: Ctx):
     train, test = _split(ctx, for_fitting=True)
-    return MD.fit_model("random_forest", train, SMALL_FOREST).score(test).select("order_id", "is_late", "p")
+    return MD.fit_model("random_forest", train).score(test).select("order_id", "is_late", "p")
 
 
 @query("gbt_scores")
 def gbt_scores(ctx: Ctx):
     train, test = _split(ctx, for_fitting=True)
-    return MD.fit_model("hist_gradient_boosting", train, SMALL_BOOSTER).score(test).select(
-        "order_id", "is_late", "p"
-    )
+    return MD.fit_model("hist_gradient_boosting", train).score(test).select("order_id", "is_late", "p")
 
 
 @query("tuning_summary")
 def tuning_summary(ctx: Ctx):
     train, _ = _split(ctx, for_fitting=True)
     n_train = train.count()
-    fixed = {"model__n_estimators": 20, "model__max_depth": 8}
     _, summary = tune_model(
-        ctx.spark, "random_forest", train, n_train, MD.FOREST_SPACE, n_iter=2, n_splits=2, fixed=fixed
+        ctx.spark, "random_forest", train, n_train, MD.FOREST_SPACE, JOB.n_iter, JOB.n_splits, JOB.seed, JOB.parallelism
     )
     return summary
 
@@ -182,25 +176,24 @@ def tuning_summary(ctx: Ctx):
 def calibration_summary(ctx: Ctx):
     train, test = _split(ctx, for_fitting=True)
     n_train = train.count()
-    fitted = MD.fit_model("hist_gradient_boosting", train, SMALL_BOOSTER)
-    ens = fit_calibrated("hist_gradient_boosting", SMALL_BOOSTER, train, n_train, n_splits=2)
+    fitted = MD.fit_model("hist_gradient_boosting", train)
+    ens = fit_calibrated("hist_gradient_boosting", fitted.params, train, n_train, JOB.n_splits, JOB.seed)
     return calib_op("hist_gradient_boosting", fitted, ens, test)
 
 
 @query("permutation_importance")
 def permutation_importance(ctx: Ctx):
     train, test = _split(ctx, for_fitting=True)
-    fitted = MD.fit_model("random_forest", train, SMALL_FOREST)
-    return perm_op(fitted, test, FEATURES, repeats=2)
+    fitted = MD.fit_model("random_forest", train)
+    return perm_op(fitted, test, FEATURES, JOB.repeats, JOB.seed)
 
 
 @query("model_comparison")
 def model_comparison(ctx: Ctx):
     train, test = _split(ctx, for_fitting=True)
     rows = None
-    for name, params in (("dummy_baseline", {}), ("random_forest", SMALL_FOREST),
-                         ("hist_gradient_boosting", SMALL_BOOSTER)):
-        fitted = MD.fit_model(name, train, params)
+    for name in JOB.models:
+        fitted = MD.fit_model(name, train)
         m = metric_bundle(materialize(scored_for_metrics(fitted, test))).select(F.lit(name).alias("model"), "*")
         rows = m if rows is None else rows.unionByName(m)
     return rows
@@ -208,12 +201,7 @@ def model_comparison(ctx: Ctx):
 
 @query("training_job")
 def training_job(ctx: Ctx):
-    cfg = JobConfig(
-        n_iter=2, n_splits=2, repeats=2,
-        fixed_params={"random_forest": {"model__n_estimators": 20, "model__max_depth": 8},
-                      "hist_gradient_boosting": {"model__max_iter": 15}},
-    )
-    results, _, _, _, _ = run_training(ctx.spark, ctx.tables, cfg)
+    results, _, _, _, _ = run_training(ctx.spark, ctx.tables, JOB)
     return results
 
 
