@@ -36,7 +36,7 @@ class Rule:
 
 
 THRESHOLDS: tuple[Rule, ...] = (
-    Rule("n_words", 20, 10_000_000),
+    Rule("n_words", 20, None),
     Rule("mean_word_chars", 1.5, 20.0),
     Rule("symbol_ratio", None, 0.1),
     Rule("stop_ratio", 0.04, None),

@@ -46,6 +46,13 @@ def test_open_bounds():
     assert "symbol_ratio" in str(compile_rules((Rule("symbol_ratio", None, 0.1),)))
 
 
+@pytest.mark.parametrize(("n_words", "kept"), [(19, False), (20, True), (10_000_000, True), (10_000_001, True), (3_000_000_000, True)])
+def test_long_texts_are_judged_by_quality(spark, n_words, kept):
+    row = ((n_words, 5.0, 0.01, 0.3, 0.0, 0.0),)
+    kind = "quality struct<n_words:long,mean_word_chars:double,symbol_ratio:double,stop_ratio:double,dup_line_ratio:double,repeat_ratio:double>"
+    assert spark.createDataFrame([row], kind).select(compile_rules()).first()[0] is kept
+
+
 @pytest.mark.parametrize("n_shards", [1, 3, 8])
 def test_shards_are_contiguous_and_balanced(edge_docs, edge_rows, n_shards):
     got = shard_by_bytes(edge_docs, n_shards, rows_per_range=4).collect()
