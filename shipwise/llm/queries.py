@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .common import read_table
+from .conversations import repair_damaged
 from .nn_descent import nearest
 from .packing import pack
 from .quality_model import quality_scores
@@ -69,8 +70,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digests(read_table(spark, sf_dir, "documents"), window=13)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(read_table(spark, sf_dir, "conversations"))
+
+
+OPERATORS = [
+    op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op6_nn_descent, op7_sentence_pieces,
+    op8_token_files, op9_sharding, op10_substring_dedup, op13_conversation_repair,
+]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op6_nn_descent, op7_sentence_pieces, op8_token_files, op9_sharding, op10_substring_dedup)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
