@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .quality_rules import REPEAT_WINDOW, STOP_WORDS, SYMBOLS, THRESHOLDS
+from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 
 def _verdict() -> str:
@@ -98,4 +99,42 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(l.n
   sha256(coalesce(l.t, '')) AS kept_sha256
 FROM d LEFT JOIN left_over l ON l.r = d.r"""
 
-SQL = {"op2_quality_rules": _quality_rules(), "op9_sharding": _SHARDING, "op10_substring_dedup": _SUBSTRING}
+def _vector_codes() -> str:
+    """Plain Lloyd rounds in integers, one pair of CTEs a round."""
+
+    def nearest(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+  SELECT r, p, e, d FROM (
+    SELECT x.r, x.p, c.e, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d FROM x JOIN c{k} c USING (p, j) GROUP BY x.r, x.p, c.e)
+  QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)"""
+
+    def means(k: int) -> str:
+        return f"""m{k} AS (
+  SELECT x.p, a.e, x.j, CAST(sum(x.v) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{k} a USING (r, p) GROUP BY x.p, a.e, x.j
+), c{k + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, c.j, CASE WHEN n IS NULL THEN c.v ELSE (s - ((s % n) + n) % n) // n END AS v
+  FROM c{k} c LEFT JOIN m{k} m ON m.p = c.p AND m.e = c.e AND m.j = c.j)"""
+
+    rounds = ",\n".join(f"{nearest(k)},\n{means(k)}" for k in range(ROUNDS))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r,
+    list_transform(embedding, lambda y: CAST(floor({SCALE} * CAST(y AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+), x AS MATERIALIZED (
+  SELECT r, (i - 1) // (n // {PARTS}) AS p, (i - 1) % (n // {PARTS}) AS j, v
+  FROM (SELECT r, len(q) AS n, unnest(q) AS v, generate_subscripts(q, 1) AS i FROM kept)
+), c0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, v FROM x WHERE r <= {ENTRIES}),
+{rounds},
+{nearest(ROUNDS)},
+book AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, j)) AS h FROM c{ROUNDS}),
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{ROUNDS} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), book"""
+
+
+SQL = {
+    "op2_quality_rules": _quality_rules(), "op9_sharding": _SHARDING, "op10_substring_dedup": _SUBSTRING,
+    "op11_vector_codes": _vector_codes(),
+}

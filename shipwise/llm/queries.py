@@ -19,6 +19,7 @@ from .simhash import simhash_components
 from .substring import substring_digests
 from .token_files import token_round_trip
 from .toxicity import toxicity_scores
+from .vector_codes import vector_codes
 
 
 def bpe_path() -> str:
@@ -70,13 +71,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digests(read_table(spark, sf_dir, "documents"), window=13)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(read_table(spark, sf_dir, "conversations"))
 
 
 OPERATORS = [
     op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op6_nn_descent, op7_sentence_pieces,
-    op8_token_files, op9_sharding, op10_substring_dedup, op13_conversation_repair,
+    op8_token_files, op9_sharding, op10_substring_dedup, op11_vector_codes, op13_conversation_repair,
 ]
 
 
