@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import oracle
 from .common import read_table
 from .conversations import repair_damaged
+from .language_id import language_ids
 from .nn_descent import nearest
 from .packing import pack
 from .quality_model import quality_scores
@@ -75,13 +76,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(read_table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(read_table(spark, sf_dir, "conversations"))
 
 
 OPERATORS = [
     op1_packing, op2_quality_rules, op3_simhash, op4_quality_classifier, op5_toxicity, op6_nn_descent, op7_sentence_pieces,
-    op8_token_files, op9_sharding, op10_substring_dedup, op11_vector_codes, op13_conversation_repair,
+    op8_token_files, op9_sharding, op10_substring_dedup, op11_vector_codes, op12_language_id, op13_conversation_repair,
 ]
 
 
