@@ -1,37 +1,45 @@
 """Models (M6-M10, M13): prior baseline, random forest, gradient-boosted trees.
 
-Learners are Spark ML estimators fitted on executors. Forest and booster
-follow the reference's settings where Spark has the knob:
-
-* depth: Spark caps it at 30, so "unlimited" maps to 30.
-* leaves: no leaf-count knob, so 15 / 31 / 63 leaves map to depth 4 / 5 / 6.
-* L2 regularisation: no knob, recorded in the parameter text only.
-* early stopping: the latest tenth of the training rows is the validation set
-  (``validationIndicatorCol``).
+Preprocessing is fitted on all training rows by Spark. The trees are grown on a
+bounded sample of them (``MAX_FIT_ROWS``, a parameter): Spark tasks grow whole
+trees, a block of a forest or a booster each, so any number of fits runs side by
+side, and a lost executor costs one block. Scoring covers all rows, in batches.
+
+* forest: depth unlimited if asked, class weights balanced in each bootstrap;
+* booster: trees grown leaf by leaf to a number of leaves, L2 in gains and leaf
+  values; beyond ``EARLY_STOPPING_ROWS`` fitted rows the latest tenth of the
+  sample decides when to stop.
 """
 
 from __future__ import annotations
 
 import itertools
-import random
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass, field, replace
-
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import pickle
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import attach_one_row
-from .preprocess import build_preprocessor
+from ..operators.features import CATEGORICAL_FEATURES, FEATURES
+from .preprocess import Encoder
+from .trees import Bins, Booster, Trees, grow_booster, grow_forest
 
 LABEL = "is_late"
 WEIGHT = "class_weight"
 VALIDATION = "is_validation"
 SEED = 42
+# Labelled rows that one fit sees at most: those of the least id hashes.
+MAX_FIT_ROWS = 10_000
+# The same for each of the many fits of a search.
+MAX_SEARCH_ROWS = 1_000
+EARLY_STOPPING_ROWS = 10_000
+# Bootstrapped rows that a task grows trees on.
+_TASK_ROWS = 50_000
 
 # Search spaces of the two tuned models.
 FOREST_SPACE = {
@@ -55,13 +63,6 @@ DEFAULTS = {
     "hist_gradient_boosting": {"model__max_iter": 500, "model__learning_rate": 0.05, "model__max_leaf_nodes": 31,
                                "model__min_samples_leaf": 20, "model__l2_regularization": 0.0},
 }
-LEAVES_TO_DEPTH = {15: 4, 31: 5, 63: 6}
-
-
-def _depth_of_leaves(leaves: int) -> int:
-    if leaves not in LEAVES_TO_DEPTH:
-        raise ValueError(f"no tree depth for {leaves} leaves; known: {sorted(LEAVES_TO_DEPTH)}")
-    return LEAVES_TO_DEPTH[leaves]
 
 
 def build_search_spaces() -> dict[str, dict[str, list]]:
@@ -69,11 +70,15 @@ def build_search_spaces() -> dict[str, dict[str, list]]:
 
 
 def sample_configs(space: dict[str, list], n: int, seed: int = SEED) -> list[dict]:
-    """``n`` distinct configurations drawn without replacement from the grid."""
+    """``n`` distinct configurations of the grid.
+
+    The first ``n`` places of a seeded Mersenne-Twister permutation of the grid,
+    whose keys are sorted, the last one running fastest. This is the draw behind
+    the published search.
+    """
     keys = sorted(space)
-    grid = [dict(zip(keys, values)) for values in itertools.product(*[space[k] for k in keys])]
-    rng = random.Random(seed)
-    return rng.sample(grid, min(n, len(grid)))
+    grid = [dict(zip(keys, values, strict=True)) for values in itertools.product(*[space[k] for k in keys])]
+    return [grid[i] for i in np.random.RandomState(seed).permutation(len(grid))[:n]]
 
 
 def with_class_weights(train: DataFrame, label: str = LABEL, weight: str = WEIGHT) -> DataFrame:
@@ -101,118 +106,179 @@ def fit_prior(train: DataFrame, label: str = LABEL) -> PriorModel:
     return PriorModel(float(train.agg(F.avg(label)).first()[0]))
 
 
-def forest_estimator(params: dict, seed: int = SEED) -> RandomForestClassifier:
-    depth = params.get("model__max_depth")
-    mf = params.get("model__max_features", "sqrt")
-    strategy = "all" if mf is None else ("sqrt" if mf == "sqrt" else str(mf))
-    return RandomForestClassifier(
-        labelCol=LABEL,
-        featuresCol="features",
-        weightCol=WEIGHT,
-        numTrees=int(params.get("model__n_estimators", 300)),
-        maxDepth=30 if depth is None else int(depth),
-        minInstancesPerNode=int(params.get("model__min_samples_leaf", 5)),
-        featureSubsetStrategy=strategy,
-        maxBins=64,
-        seed=seed,
-    )
+def validation_flag(train: DataFrame, fraction: float = 0.1, rank_col: str = "rank") -> DataFrame:
+    """Latest ``fraction`` of the (time-ranked) training rows marked for early stopping."""
+    bounds = train.agg(F.min(rank_col).alias("_lo"), F.max(rank_col).alias("_hi"))
+    cut = F.col("_lo") + (F.col("_hi") - F.col("_lo") + 1) * (1 - fraction)
+    return attach_one_row(train, bounds).withColumn(VALIDATION, F.col(rank_col) >= cut).drop("_lo", "_hi")
 
 
-def booster_estimator(params: dict, seed: int = SEED, validation_col: str | None = VALIDATION) -> GBTClassifier:
-    kw = {}
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
-    return GBTClassifier(
-        labelCol=LABEL,
-        featuresCol="features",
-        weightCol=WEIGHT,
-        maxIter=int(params.get("model__max_iter", 500)),
-        stepSize=float(params.get("model__learning_rate", 0.05)),
-        maxDepth=_depth_of_leaves(int(params.get("model__max_leaf_nodes", 31))),
-        minInstancesPerNode=int(params.get("model__min_samples_leaf", 20)),
-        maxBins=64,
-        seed=seed,
-        **kw,
-    )
+# ---------------------------------------------------------------- fitted models
+
+
+@dataclass
+class TreeModel:
+    """Preprocessing, bins and trees: ``p`` and ``margin`` of any rows with the feature columns.
+
+    A booster's margin is its raw score, a forest's its probability.
+    """
+
+    encoder: Encoder
+    bins: Bins
+    trees: Trees | Booster
+
+    def scores(self) -> Column:
+        """Struct of ``p`` and ``margin`` from the untouched feature columns, in batches."""
+        encoder, bins, trees = self.encoder, self.bins, self.trees
+
+        def score(*columns: pd.Series) -> pd.DataFrame:
+            x = bins.apply(encoder.encode(columns))
+            if isinstance(trees, Booster):
+                margin = trees.margin(x)
+                p = 1 / (1 + np.exp(-margin))
+            else:
+                p = margin = trees.total(x) / len(trees.roots)
+            return pd.DataFrame({"p": p, "margin": margin})
+
+        return F.pandas_udf(score, "p double, margin double")(*Encoder.columns())
 
 
 @dataclass
 class FittedModel:
     name: str
     params: dict
-    model: PipelineModel | PriorModel
-    margin_from_raw: bool = False
+    model: TreeModel | PriorModel
     extra: dict = field(default_factory=dict)
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``p`` (positive-class probability) and ``margin`` (calibration input)."""
         if isinstance(self.model, PriorModel):
             return self.model.transform(df)
-        out = self.model.transform(df)
-        p = vector_to_array("probability")[1]
-        margin = vector_to_array("rawPrediction")[1] if self.margin_from_raw else p
-        return out.withColumn("p", p).withColumn("margin", margin).drop(
-            "features", "rawPrediction", "probability", "prediction"
-        )
+        scored = df.withColumn("_scored", self.model.scores())
+        return scored.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("p", "margin")], "_scored.p", "_scored.margin")
 
 
-def validation_flag(train: DataFrame, fraction: float = 0.1, rank_col: str = "rank") -> DataFrame:
-    """Latest ``fraction`` of the (time-ranked) training rows marked for early stopping."""
-    bounds = train.agg(F.min(rank_col).alias("_lo"), F.max(rank_col).alias("_hi"))
-    cut = F.col("_lo") + (F.col("_hi") - F.col("_lo") + 1) * (1 - fraction)
-    return attach_one_row(train, bounds).withColumn(VALIDATION, F.col(rank_col) >= cut).drop("_lo", "_hi")
-
+# ---------------------------------------------------------------- fits
 
 @dataclass
 class Prepared:
-    """Training rows as label, weight and features, and the preprocessing fitted on them.
+    """Preprocessing fitted on all training rows, and the sample of them that trees are grown on.
 
-    Preprocessing depends on the training rows alone, so all settings of a
-    search share it.
+    Both depend on the training rows alone, so all settings of a search share them.
     """
 
-    preprocessor: PipelineModel
-    rows: DataFrame
+    encoder: Encoder
+    x: np.ndarray
+    y: np.ndarray
+    place: np.ndarray  # of each row by id hash
+
+    def head(self, max_rows: int) -> Prepared:
+        """The sample that ``prepared`` with this bound would give."""
+        own = self.place < max_rows
+        return Prepared(self.encoder, self.x[own], self.y[own], self.place[own])
+
+    def bins(self, name: str) -> Bins:
+        return Bins.fit(self.x, len(CATEGORICAL_FEATURES) if name == "random_forest" else 0)
+
+
+def fit_sample(rows: DataFrame, max_rows: int, id_col: str = "order_id") -> DataFrame:
+    """At most ``max_rows`` rows: those of the least id hashes."""
+    return rows.orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
+
+
+def prepared(train: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Prepared:
+    """Fit the preprocessing on ``train`` and bring the sample to the driver (at most ``max_rows`` rows), latest rows last."""
+    encoder = Encoder.fit(train)
+    order = ["rank"] if "rank" in train.columns else []
+    sample = fit_sample(train, max_rows).select(*order, "order_id", F.xxhash64("order_id").alias("_hash"), LABEL, *Encoder.columns())
+    got = sample.orderBy(*order, "order_id").toPandas()
+    place = np.empty(len(got), np.int64)
+    place[np.lexsort((np.arange(len(got)), got["_hash"].to_numpy(np.int64)))] = np.arange(len(got))
+    return Prepared(encoder, encoder.encode([got[c] for c in FEATURES]), got[LABEL].to_numpy(np.int64), place)
+
 
+@dataclass(frozen=True)
+class Fit:
+    """One model to fit: the place of its training rows in the list given to ``fit_all``."""
 
-ENCODINGS = {"random_forest": "onehot", "hist_gradient_boosting": "ordinal"}
+    name: str
+    data: int
+    params: dict
+    seed: int = SEED
+
+
+def balanced(y: np.ndarray) -> np.ndarray:
+    """Class weights ``n / (2 * n_class)`` of each row (M9)."""
+    late = max(int(y.sum()), 1), max(int(len(y) - y.sum()), 1)
+    return np.where(y == 1, len(y) / (2 * late[0]), len(y) / (2 * late[1]))
+
+
+def _grow(fit: Fit, bins: np.ndarray, y: np.ndarray, first: int, n_trees: int) -> Trees | Booster:
+    p = fit.params
+    if fit.name == "random_forest":
+        seeds = [fit.seed * 1_000_003 + k for k in range(first, first + n_trees)]
+        return grow_forest(bins, y, len(CATEGORICAL_FEATURES), seeds, p["model__max_depth"], int(p["model__min_samples_leaf"]),
+                           p["model__max_features"])
+    held = None
+    if len(y) > EARLY_STOPPING_ROWS:
+        held = np.arange(len(y)) >= len(y) - len(y) // 10
+    return grow_booster(bins, y, balanced(y), int(p["model__max_iter"]), float(p["model__learning_rate"]),
+                        int(p["model__max_leaf_nodes"]), int(p["model__min_samples_leaf"]), float(p["model__l2_regularization"]), held)
 
 
-@contextmanager
-def prepared(name: str, train: DataFrame) -> Iterator[Prepared]:
-    """Weights, validation flag (booster on ranked rows) and fitted preprocessing of ``train``.
+def fit_all(spark, fits: Sequence[Fit], data: Sequence[Prepared]) -> list[FittedModel]:
+    """Fit all models in one Spark job: a task grows a block of a forest, or one booster.
 
-    Imputers and indexers scan the rows several times: they are kept (memory,
-    spilling to disk) until the block ends.
+    The samples go out by broadcast (bounded rows each); the trees come back,
+    whose number of nodes is bounded by the samples' rows.
+    """
+    binned, units = {}, []
+    for k, fit in enumerate(fits):
+        kind = (fit.name, fit.data)
+        if kind not in binned:
+            bins = data[fit.data].bins(fit.name)
+            binned[kind] = bins, bins.apply(data[fit.data].x), data[fit.data].y
+        if fit.name == "random_forest":
+            n, step = int(fit.params["model__n_estimators"]), max(1, _TASK_ROWS // max(1, len(data[fit.data].y)))
+            units += [(k, lo, min(step, n - lo)) for lo in range(0, n, step)]
+        else:
+            units.append((k, 0, 1))
+    units.sort(key=lambda u: fits[u[0]].name == "random_forest")  # boosters last longest and go first
+    sent = spark.sparkContext.broadcast((list(fits), units, {kind: v[1:] for kind, v in binned.items()}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        jobs, todo, rows = sent.value
+        for batch in batches:
+            for u in batch.column("id").to_pylist():
+                k, first, n_trees = todo[u]
+                grown = _grow(jobs[k], *rows[jobs[k].name, jobs[k].data], first, n_trees)
+                yield pa.RecordBatch.from_arrays([pa.array([u]), pa.array([pickle.dumps(grown)], pa.binary())], names=["unit", "trees"])
+
+    blocks = spark.range(0, len(units), 1, len(units)).mapInArrow(run, "unit long, trees binary").collect()
+    sent.unpersist()
+    parts: dict[int, list] = {}
+    for b in sorted(blocks, key=lambda b: b["unit"]):
+        parts.setdefault(units[b["unit"]][0], []).append(pickle.loads(b["trees"]))  # noqa: S301 (written by run)
+    out = []
+    for k, fit in enumerate(fits):
+        grown = Trees.join(parts[k]) if fit.name == "random_forest" else parts[k][0]
+        out.append(FittedModel(fit.name, fit.params, TreeModel(data[fit.data].encoder, binned[fit.name, fit.data][0], grown)))
+    return out
+
+
+def fit_model(
+    name: str, train: DataFrame, params: dict | None = None, seed: int = SEED, max_rows: int = MAX_FIT_ROWS, ready: Prepared | None = None
+) -> FittedModel:
+    """Fit one of ``dummy_baseline``, ``random_forest``, ``hist_gradient_boosting`` on (ranked) train rows.
+
+    ``ready`` is what ``prepared`` made of these rows, if it is there already.
     """
-    if name not in ENCODINGS:
-        raise ValueError(f"unknown model {name!r}")
-    data, columns = with_class_weights(train), [LABEL, WEIGHT, "features"]
-    if name == "hist_gradient_boosting" and "rank" in train.columns:
-        data, columns = validation_flag(data), [*columns, VALIDATION]
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        preprocessor = build_preprocessor(ENCODINGS[name]).fit(data)
-        yield Prepared(preprocessor, preprocessor.transform(data).select(*columns))
-    finally:
-        data.unpersist()
-
-
-def fit_learner(name: str, rows: DataFrame, params: dict | None = None, seed: int = SEED) -> FittedModel:
-    """Fit the learner alone on rows of ``prepared``; it scores rows that hold ``features``."""
-    params = dict(DEFAULTS[name], **(params or {}))
-    if name == "random_forest":
-        learner = forest_estimator(params, seed)
-    else:
-        learner = booster_estimator(params, seed, VALIDATION if VALIDATION in rows.columns else None)
-    return FittedModel(name, params, PipelineModel([learner.fit(rows)]), margin_from_raw=name != "random_forest")
-
-
-def fit_model(name: str, train: DataFrame, params: dict | None = None, seed: int = SEED) -> FittedModel:
-    """Fit one of ``dummy_baseline``, ``random_forest``, ``hist_gradient_boosting`` on ranked train rows."""
     if name == "dummy_baseline":
         return FittedModel(name, {}, fit_prior(train))
-    with prepared(name, train) as ready:
-        fitted = fit_learner(name, ready.rows, params, seed)
-        stages = [*ready.preprocessor.stages, *fitted.model.stages]
-    return replace(fitted, model=PipelineModel(stages))
+    return fit_all(train.sparkSession, [Fit(name, 0, settings(name, params), seed)], [ready or prepared(train, max_rows)])[0]
+
+
+def settings(name: str, params: dict | None = None) -> dict:
+    if name not in DEFAULTS:
+        raise ValueError(f"unknown model {name!r}")
+    return dict(DEFAULTS[name], **(params or {}))
