@@ -326,3 +326,23 @@ def quantile_bucket(df: DataFrame, value: str, qs: Sequence[float], labels: Sequ
         cond = lower & (v <= hi)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return X.attach_one_row(df, edges).withColumn(out, expr).drop("_edges")
+
+
+def cohort_tables(df: DataFrame, buckets: dict[str, Column], target: str = TARGET) -> DataFrame:
+    """Rates of all cohorts in one pass: (cohort, bucket, orders, late_rate, lift_vs_base).
+
+    Each row names its bucket in every cohort; one grouping covers them all, so
+    ``df`` is read once, and partial sums are combined before the shuffle. A null
+    bucket counts in the base rate only.
+    """
+    names = F.array(*[F.struct(F.lit(n).alias("cohort"), b.cast("string").alias("bucket")) for n, b in buckets.items()])
+    base = F.struct(F.lit(None).cast("string").alias("cohort"), F.lit(None).cast("string").alias("bucket"))
+    named = F.concat(F.array(base), F.filter(names, lambda c: c["bucket"].isNotNull()))
+    sums = (
+        df.select(F.explode(named).alias("c"), F.col(target).alias("_y"))
+        .groupBy("c.cohort", "c.bucket").agg(F.count(F.lit(1)).alias("orders"), F.sum("_y").alias("_late"))
+    )
+    total = sums.where(F.col("cohort").isNull()).select((F.col("_late") / F.col("orders")).alias("_base"))
+    rates = X.attach_one_row(sums.where(F.col("cohort").isNotNull()), total)
+    rate = F.col("_late") / F.col("orders")
+    return rates.select("cohort", "bucket", "orders", rate.alias("late_rate"), X.round_half_even(rate / F.col("_base"), 2).alias("lift_vs_base"))

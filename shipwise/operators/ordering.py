@@ -51,13 +51,48 @@ def ts_micros(col: str | Column) -> Column:
     )
 
 
+# Strings that a proxy's cut points are drawn from at most, and cut points kept.
+STRING_SAMPLE, STRING_CUTS = 50_000, 1024
+_TAIL_BYTES = 5
+
+
+def _string_proxy(df: DataFrame, c: Column) -> Column:
+    """Place of a string among sampled cut points, by binary search, plus a fraction between two of them.
+
+    The fraction comes from the 5 bytes after the prefix that the two
+    neighbouring cut points share (all strings between them share it too). So
+    strings of several long prefixes still spread over the ranges. Hex text keeps
+    Spark's byte order. At most ``STRING_SAMPLE`` strings reach the driver.
+    """
+    text = F.hex(c.cast("binary"))
+    ends = df.agg(F.min(text).alias("lo"), F.max(text).alias("hi"), F.count(text).alias("n")).first()
+    if ends["lo"] is None:
+        return F.lit(None).cast("double")
+    share = min(1.0, STRING_SAMPLE / 2 / ends["n"])
+    found = df.select(text.alias("t")).where("t IS NOT NULL").sample(fraction=share, seed=1).limit(STRING_SAMPLE).distinct().collect()
+    drawn = sorted({ends["lo"], ends["hi"], *[r["t"] for r in found]})
+    step = -(-len(drawn) // STRING_CUTS)
+    cuts = sorted({ends["lo"], ends["hi"], *drawn[::step]})
+    # bytes shared by a cut point and the next one, in hex digits
+    shared = [len(os.path.commonprefix(p)) // 2 * 2 for p in zip(cuts, cuts[1:])] + [len(cuts[-1])]
+    points, lengths = F.split(F.lit(",".join(cuts)), ","), F.split(F.lit(",".join(map(str, shared))), ",")
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    place = F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, s: F.when((at + s <= len(cuts)) & (F.get(points, F.least(at + s, F.lit(len(cuts))) - 1) <= text), at + s).otherwise(at),
+    )
+    # one before the last: both neighbours are known
+    place = F.greatest(place, F.lit(1))
+    own = F.get(lengths, place - 1).cast("int")
+    tail = F.rpad(text.substr(own + 1, F.lit(2 * _TAIL_BYTES)), 2 * _TAIL_BYTES, "0")
+    return place + F.conv(tail, 16, 10).cast("double") / F.lit(float(1 << (8 * _TAIL_BYTES)))
+
+
 def sort_proxy(df: DataFrame, name: str) -> Column:
     """A double that never decreases along the column's own sort order (R1 cut points).
 
-    Timestamps become epoch micros, dates days, numbers themselves. Strings
-    become the 6 bytes after the prefix that all values share (found from the
-    least and the greatest value, one narrow pass), right-padded, as a 48-bit
-    number, which follows Spark's binary string order. Equal proxies only put
+    Timestamps become epoch micros, dates days, numbers themselves, strings
+    their place among sampled strings (``_string_proxy``). Equal proxies only put
     rows in the same range; the exact order comes from the real column inside
     a cell. Where any fixed order will do, rank by a hash instead (as
     permutation importance does).
@@ -69,9 +104,7 @@ def sort_proxy(df: DataFrame, name: str) -> Column:
     if isinstance(dt, T.DateType):
         return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
     if isinstance(dt, T.StringType):
-        ends = df.agg(F.min(c.cast("binary")).alias("lo"), F.max(c.cast("binary")).alias("hi")).first()
-        shared = len(os.path.commonprefix([bytes(ends["lo"]), bytes(ends["hi"])])) if ends["lo"] is not None else 0
-        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), shared + 1, 6)), 12, "0"), 16, 10).cast("double")
+        return _string_proxy(df, c)
     if isinstance(dt, T.BooleanType):
         return c.cast("int").cast("double")
     return c.cast("double")

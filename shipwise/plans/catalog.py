@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (  # noqa: F401
     cohort_queries,
+    extension_queries,
     frame_queries,
     metric_queries,
     ml_queries,

@@ -107,6 +107,31 @@ def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def geo_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Postcode prefixes of customers and sellers, and points of each prefix (a few lie out of bounds)."""
+    customer, supplier = read_base(spark, sf_dir, "customer"), read_base(spark, sf_dir, "supplier")
+    return {
+        "customers": customer.select(F.col("c_custkey").alias("customer_id"), (F.col("c_custkey") % 400).alias("customer_zip_code_prefix")),
+        "sellers": supplier.select(
+            F.col("s_suppkey").alias("seller_id"), E("CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE s_suppkey % 420 END").alias("seller_zip_code_prefix")
+        ),
+        "geolocation": customer.select(
+            (F.col("c_custkey") % 400).alias("geolocation_zip_code_prefix"),
+            E("CASE WHEN c_custkey % 41 = 0 THEN CAST(80 AS DOUBLE) ELSE CAST(-32 + (c_custkey * 7 % 400) / CAST(11 AS DOUBLE) AS DOUBLE) END")
+            .alias("geolocation_lat"),
+            E("CAST(-73 + (c_custkey * 13 % 400) / CAST(11 AS DOUBLE) AS DOUBLE)").alias("geolocation_lng"),
+        ),
+    }
+
+
+GEO_VIEWS_SQL = """v_customer_zip AS (SELECT c_custkey AS customer_id, c_custkey % 400 AS prefix FROM customer),
+v_seller_zip AS (SELECT s_suppkey AS seller_id, CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE s_suppkey % 420 END AS prefix FROM supplier),
+v_geolocation AS (
+  SELECT c_custkey % 400 AS prefix,
+    CASE WHEN c_custkey % 41 = 0 THEN CAST(80 AS DOUBLE) ELSE -32 + (c_custkey * 7 % 400) / CAST(11 AS DOUBLE) END AS lat,
+    -73 + (c_custkey * 13 % 400) / CAST(11 AS DOUBLE) AS lng
+  FROM customer)"""
+
 # The same views as SQL text for DuckDB (oracle side). View names carry a
 # ``v_`` prefix because ``orders`` collides with the base table there.
 STAR_VIEWS_SQL = """
