@@ -24,7 +24,8 @@ def centroids(geolocation: DataFrame, box: tuple[float, float, float, float] = B
 def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     half = lambda a, b: F.pow(F.sin(F.radians(b - a) / 2), F.lit(2.0))
     chord = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lng1, lng2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(chord), F.lit(1.0)))
+    # rounding may pass 1; least() would turn an unknown place into the far side of the earth
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(chord > 1, F.lit(1.0)).otherwise(F.sqrt(chord)))
 
 
 def seller_customer_distance(

@@ -34,14 +34,15 @@ def _half(a: str, b: str) -> str:
 @query(
     "seller_customer_distance",
     statement(
-        f"""SELECT o.order_id, round_even(avg({2 * EARTH_RADIUS_KM} * asin(least(sqrt(
-    {_half("c.lat", "s.lat")} + cos(radians(c.lat)) * cos(radians(s.lat)) * {_half("c.lng", "s.lng")}), 1))) * 1000, 0) / 1000
+        f"""SELECT order_id, round_even(avg({2 * EARTH_RADIUS_KM} * asin(CASE WHEN chord > 1 THEN 1 ELSE sqrt(chord) END)) * 1000, 0) / 1000
   AS seller_customer_km
-FROM v_orders o
-LEFT JOIN (SELECT customer_id, lat, lng FROM v_customer_zip LEFT JOIN places USING (prefix)) c ON o.customer_id = c.customer_id
-LEFT JOIN (SELECT DISTINCT order_id, seller_id FROM v_items) i ON o.order_id = i.order_id
-LEFT JOIN (SELECT seller_id, lat, lng FROM v_seller_zip LEFT JOIN places USING (prefix)) s ON i.seller_id = s.seller_id
-GROUP BY o.order_id""",
+FROM (
+  SELECT o.order_id, {_half("c.lat", "s.lat")} + cos(radians(c.lat)) * cos(radians(s.lat)) * {_half("c.lng", "s.lng")} AS chord
+  FROM v_orders o
+  LEFT JOIN (SELECT customer_id, lat, lng FROM v_customer_zip LEFT JOIN places USING (prefix)) c ON o.customer_id = c.customer_id
+  LEFT JOIN (SELECT DISTINCT order_id, seller_id FROM v_items) i ON o.order_id = i.order_id
+  LEFT JOIN (SELECT seller_id, lat, lng FROM v_seller_zip LEFT JOIN places USING (prefix)) s ON i.seller_id = s.seller_id) pairs
+GROUP BY order_id""",
         ctes=GEO_VIEWS_SQL + f""",
 places AS (
   SELECT prefix, avg(lat) AS lat, avg(lng) AS lng FROM v_geolocation
