@@ -95,12 +95,18 @@ def test_json_text_keeps_separators_inside_values(spark):
     assert got["s"] == '{"a": "1", "b": "x\\":y,\\"z"}' and got["n"].startswith('{"k": ') and got["n"].endswith('"n": 2}')
 
 
-def test_unknown_leaf_count_raises():
-    from shipwise.ml.models import _depth_of_leaves
-
-    assert _depth_of_leaves(31) == 5
-    with pytest.raises(ValueError, match="no tree depth"):
-        _depth_of_leaves(100)
+def test_any_leaf_count_is_a_limit_and_less_than_two_raises():
+    """Leaf counts are limits of their own (they were mapped to depths before, and unknown ones raised)."""
+    import numpy as np
+
+    from shipwise.ml.trees import grow_booster
+
+    rng = np.random.default_rng(0)
+    bins, y = rng.integers(0, 50, (500, 3)).astype(np.uint16), rng.integers(0, 2, 500)
+    for leaves in (2, 7, 31, 100):
+        assert grow_booster(bins, y, np.ones(500), 3, 0.1, leaves, 1).trees.leaves().max() == leaves
+    with pytest.raises(ValueError, match="2 leaves"):
+        grow_booster(bins, y, np.ones(500), 3, 0.1, 1, 1)
 
 
 def test_checkpoint_folder_is_required_on_a_cluster():
