@@ -47,6 +47,15 @@ def store(df: DataFrame, kind: str = "tables") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``store`` wrote and that no later step reads."""
+    spark = df.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and use it in ``body``."""
     return F.transform(F.array(value), body).getItem(0)

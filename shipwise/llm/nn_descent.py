@@ -1,13 +1,14 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy graph search.
 
 Distinct vectors are dealt by hash into blocks of bounded size, one packed row
-a block. Lists start with the exact neighbours inside the block and inside the
-block of a second deal, which links the blocks. Each round joins
-neighbours of neighbours: blocks offer their nodes to the neighbours these
+a block. Lists start with random nodes, half of them from the node's own block
+and half from its block in a second deal, which links the blocks. Each round
+joins neighbours of neighbours: blocks offer their nodes to the neighbours these
 have chosen, ask other blocks for the vectors of their own neighbours, compare
 all neighbours of a node with each other, and send every improvement to the
 block of its node. All exchanges are Spark shuffles of messages from block to
-block. Queries then walk the graph greedily, all at once: a round sends each
+block. The descent is the same at every size and ends when few entries are new.
+Queries then walk the graph greedily, all at once: a round sends each
 query's best unexpanded nodes to the blocks that hold their edges, the
 neighbours to the blocks that hold their vectors, and the distances back.
 """
@@ -15,23 +16,36 @@ neighbours to the blocks that hold their vectors, and the distances back.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import scalar_row, store
+from .common import discard, scalar_row, store
 
-K, SAMPLE, MAX_ROUNDS, BLOCK_NODES = 24, 12, 6, 8192
-BEAM, MAX_SEARCH_ROUNDS, MAX_REVERSE = 400, 40, 48
+K, SAMPLE, BLOCK_NODES = 24, 12, 2048
+BEAM, REVERSE = 100, 48
 STOP_SHARE = 0.02
 _CHUNK = 256
+_TEAM = 4096  # a range of node ids whose beams move together
 _BLOCKS = "block long, ids binary, vecs binary, near binary, dist binary, fresh binary"
 _MESSAGE = "dst long, src long, a binary, b binary, c binary, v binary"
 _NONE = np.int64(-(2**63))  # an empty place of a neighbour list
 
 
+class Layout(NamedTuple):
+    """How vectors are packed: ``dim`` components of one numpy type, that of the input column."""
+
+    dim: int
+    dtype: type = np.float32
+
+    def vectors(self, x: bytes) -> np.ndarray:
+        return np.frombuffer(x, self.dtype).reshape(-1, self.dim)
+
+
 def _i64(x: bytes) -> np.ndarray:
     return np.frombuffer(x, np.int64)
 
@@ -54,10 +68,10 @@ def block_of(ids: np.ndarray, n_blocks: int, salt: int = 0) -> np.ndarray:
 class Block:
     """One packed row: sorted node ids, vectors, and each node's neighbour list."""
 
-    def __init__(self, row, dim: int):
+    def __init__(self, row, dim: Layout):
         self.block = int(row["block"])
         self.ids = _i64(row["ids"])
-        self.vecs = np.frombuffer(row["vecs"], np.float32).reshape(-1, dim)
+        self.vecs = dim.vectors(row["vecs"])
         self.near = _i64(row["near"]).reshape(len(self.ids), -1)
         self.dist = _f64(row["dist"]).reshape(self.near.shape)
         self.fresh = np.frombuffer(row["fresh"], np.uint8).reshape(self.near.shape).astype(bool)
@@ -96,39 +110,46 @@ def _messages(rows: list[list]) -> pd.DataFrame:
 # ----------------------------------------------------------------- the graph
 
 
-def _inside(rows: pd.DataFrame, k: int) -> tuple[np.ndarray, ...]:
-    """Sorted ids, vectors, and the exact neighbours among the rows with squared distances."""
+def _random(rows: pd.DataFrame, group: str, k: int, places: int, dtype: type) -> tuple[np.ndarray, ...]:
+    """Sorted ids, vectors, and up to ``places`` random other rows of each with squared distances, in lists of ``k``."""
     rows = rows.sort_values("node")
     ids = rows["node"].to_numpy(np.int64)
-    vecs = np.stack([np.asarray(v, np.float32) for v in rows["vec"]])
+    vecs = np.stack([np.asarray(v, dtype) for v in rows["vec"]])
     near, dist = np.full((len(ids), k), _NONE), np.full((len(ids), k), np.inf)
-    wide, m = vecs.astype(np.float64), min(k, len(ids) - 1)
-    for lo in range(0, len(ids) if m else 0, _CHUNK):
-        d = _squares(wide[lo : lo + _CHUNK], wide)
-        d[np.arange(len(d)), np.arange(lo, lo + len(d))] = np.inf
-        at = np.argpartition(d, m - 1, axis=1)[:, :m]
-        own = np.take_along_axis(d, at, 1)
-        order = own.argsort(1, kind="stable")
-        near[lo : lo + _CHUNK, :m] = ids[np.take_along_axis(at, order, 1)]
-        dist[lo : lo + _CHUNK, :m] = np.take_along_axis(own, order, 1)
+    if len(ids) < 2:
+        return ids, vecs, near, dist
+    # The seed hangs on the group alone, so a repeated task draws the same.
+    draw = np.random.default_rng([len(group), int(rows[group].iloc[0])])
+    at = np.arange(len(ids))[:, None]
+    picked = draw.integers(0, len(ids) - 1, (len(ids), places)) if len(ids) - 1 > places else np.tile(np.arange(len(ids) - 1), (len(ids), 1))
+    picked = np.sort(picked + (picked >= at), 1)
+    wide = vecs.astype(np.float64)
+    for lo in range(0, len(ids), _CHUNK):
+        own = picked[lo : lo + _CHUNK]
+        d = ((wide[own] - wide[lo : lo + _CHUNK, None]) ** 2).sum(-1)
+        d[:, 1:][own[:, 1:] == own[:, :-1]] = np.inf  # drawn twice
+        order = d.argsort(1, kind="stable")
+        d, own = np.take_along_axis(d, order, 1), np.take_along_axis(own, order, 1)
+        near[lo : lo + _CHUNK, : own.shape[1]] = np.where(np.isinf(d), _NONE, ids[own])
+        dist[lo : lo + _CHUNK, : own.shape[1]] = d
     return ids, vecs, near, dist
 
 
-def _start(k: int) -> Callable:
-    """A home block with the exact neighbours inside it; all entries are fresh."""
+def _start(k: int, places: int, dtype: type) -> Callable:
+    """A home block with random neighbours from inside it; all entries are fresh."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, vecs, near, dist = _inside(rows, k)
+        ids, vecs, near, dist = _random(rows, "block", k, places, dtype)
         return _row(int(rows["block"].iloc[0]), ids, vecs, near, dist, near != _NONE)
 
     return run
 
 
-def _links(n_blocks: int, k: int) -> Callable:
-    """The exact neighbours inside a block of another deal, sent to the home blocks; these link the blocks."""
+def _links(n_blocks: int, k: int, places: int, dtype: type) -> Callable:
+    """Random neighbours from inside a block of another deal, sent to the home blocks; these link the blocks."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, _, near, dist = _inside(rows, k)
+        ids, _, near, dist = _random(rows, "other", k, places, dtype)
         at, place = np.nonzero(near != _NONE)
         node, other, d = ids[at], near[at, place], dist[at, place]
         return _messages([
@@ -139,7 +160,7 @@ def _links(n_blocks: int, k: int) -> Callable:
     return run
 
 
-def _ask(dim: int, n_blocks: int) -> Callable:
+def _ask(dim: Layout, n_blocks: int) -> Callable:
     """Requests for the vectors of the block's own sampled neighbours (a: ids)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,7 +174,7 @@ def _ask(dim: int, n_blocks: int) -> Callable:
     return run
 
 
-def _offer(dim: int, n_blocks: int) -> Callable:
+def _offer(dim: Layout, n_blocks: int) -> Callable:
     """Offers to the neighbours a node has chosen (a: chosen, b: node, c: fresh, v: vectors and bounds)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,13 +202,13 @@ def _vectors(b: Block, nodes: np.ndarray) -> bytes:
     return head + b.ids[nodes].tobytes() + b.dist[nodes, -1].tobytes() + b.vecs[nodes].tobytes()
 
 
-def _read_vectors(v: bytes, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _read_vectors(v: bytes, dim: Layout) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = int(np.frombuffer(v, np.int64, 1)[0])
     ids, bound = np.frombuffer(v, np.int64, n, 8), np.frombuffer(v, np.float64, n, 8 + 8 * n)
-    return ids, bound, np.frombuffer(v, np.float32, n * dim, 8 + 16 * n).reshape(n, dim)
+    return ids, bound, dim.vectors(memoryview(v)[8 + 16 * n :])
 
 
-def _reply(dim: int) -> Callable:
+def _reply(dim: Layout) -> Callable:
     def run(blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(blocks):
             return _messages([])
@@ -207,8 +228,12 @@ def _padded(owner: np.ndarray, member: np.ndarray, n: int, width: int) -> np.nda
     return out
 
 
-def _join(dim: int, n_blocks: int, k: int) -> Callable:
-    """Compare the neighbours of each node of a block; improvements go to their blocks (a: node, b: neighbour, v: distance)."""
+def _join(dim: Layout, n_blocks: int, k: int, turn: int) -> Callable:
+    """Compare the neighbours of each node of a block; improvements go to their blocks (a: node, b: neighbour, v: distance).
+
+    A node's own fresh entries all take part. Of those that chose it, and of the
+    old ones, as many as there is room for: other ones in every round (``turn``).
+    """
 
     def run(blocks: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         if not len(blocks):
@@ -224,17 +249,17 @@ def _join(dim: int, n_blocks: int, k: int) -> Callable:
         owners, members, news = [at, at_old], [b.near[at, place], b.near[at_old, place_old]], [np.ones(len(at), bool), np.zeros(len(at_old), bool)]
         for m in mail.itertuples():
             if len(m.a):
-                sent = _read_vectors(m.v, dim)[0]
                 owners.append(np.searchsorted(b.ids, _i64(m.a)))
-                members.append(sent[_i64(m.b)])
+                members.append(_read_vectors(m.v, dim)[0][_i64(m.b)])
                 news.append(np.frombuffer(m.c, np.uint8).astype(bool))
         owner, member, new = np.concatenate(owners), np.searchsorted(ids, np.concatenate(members)), np.concatenate(news)
-        # Each (node, member) once, fresh if either side says so; the order of members is mixed by a hash.
-        order = np.lexsort((~new, member, owner))
-        owner, member, new = owner[order], member[order], new[order]
+        sent = np.arange(len(owner)) >= len(at)  # all but the node's own fresh entries
+        # Each (node, member) once, fresh if either side says so; own fresh ones first, the others mixed by a hash.
+        order = np.lexsort((sent, ~new, member, owner))
+        owner, member, new, sent = owner[order], member[order], new[order], sent[order]
         once = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(member) != 0)]) if len(owner) else np.zeros(0, bool)
-        owner, member, new = owner[once], member[once], new[once]
-        mixed = np.lexsort((block_of(ids[member] + b.ids[owner], 1 << 30), owner))
+        owner, member, new, sent = owner[once], member[once], new[once], sent[once]
+        mixed = np.lexsort((block_of(ids[member] + b.ids[owner], 1 << 30, salt=2 + turn), sent, owner))
         owner, member, new = owner[mixed], member[mixed], new[mixed]
         left = _padded(owner[new], member[new], len(b.ids), 2 * SAMPLE)
         other = _padded(owner[~new], member[~new], len(b.ids), 2 * SAMPLE)
@@ -275,7 +300,7 @@ def _best(p: np.ndarray, q: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarr
     return p[place < k], q[place < k], d[place < k]
 
 
-def _update(dim: int, k: int, joined: bool = True) -> Callable:
+def _update(dim: Layout, k: int, joined: bool = True) -> Callable:
     """Merge improvements into the lists; fresh entries that have been joined become old."""
 
     def run(blocks: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
@@ -315,41 +340,47 @@ def _cogroup(blocks: DataFrame, mail: DataFrame, run: Callable, schema: str) ->
     return blocks.groupBy("block").cogroup(keyed.groupBy("block")).applyInPandas(lambda a, b: run(a, b), schema)
 
 
-def build_graph(nodes: DataFrame, n: int, dim: int, k: int = K, rounds: int = MAX_ROUNDS, block_nodes: int = BLOCK_NODES) -> DataFrame:
-    """Packed blocks of the neighbour graph of (node, vec): distinct nodes, ``dim`` finite floats each.
+def build_graph(
+    nodes: DataFrame, n: int, dim: Layout, k: int = K, rounds: int | None = None, block_nodes: int = BLOCK_NODES
+) -> DataFrame:
+    """Packed blocks of the neighbour graph of (node, vec): distinct nodes, finite vectors.
 
-    Every round is stored in the shared folder. It stops after ``rounds``, or
-    when fewer than ``STOP_SHARE`` of all entries are fresh.
+    Every round is stored in the shared folder, and the round before it deleted.
+    The descent ends when fewer than ``STOP_SHARE`` of all entries are fresh;
+    distances only fall, so it does end. ``rounds`` is for tests: so many rounds
+    and no more.
     """
     n_blocks = max(1, -(-n // block_nodes))
+    kind = nodes.schema["vec"].dataType.simpleString()
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = batch["node"].to_numpy(np.int64)
             yield batch.assign(block=block_of(ids, n_blocks), other=block_of(ids, n_blocks, salt=1))
 
-    dealt = nodes.select("node", "vec").mapInPandas(deal, "node long, vec array<float>, block long, other long")
-    graph = dealt.groupBy("block").applyInPandas(_start(k), _BLOCKS)
-    if n_blocks > 1:
-        links = dealt.groupBy("other").applyInPandas(_links(n_blocks, k), _MESSAGE)
-        graph = _cogroup(graph, links, _update(dim, k, joined=False), _BLOCKS)
-    graph = store(graph)
-    for _ in range(rounds if n_blocks > 1 else 0):
+    dealt = nodes.select("node", "vec").mapInPandas(deal, f"node long, vec {kind}, block long, other long")
+    graph = dealt.groupBy("block").applyInPandas(_start(k, k - k // 2, dim.dtype), _BLOCKS)
+    links = dealt.groupBy("other").applyInPandas(_links(n_blocks, k, k // 2, dim.dtype), _MESSAGE)
+    graph = store(_cogroup(graph, links, _update(dim, k, joined=False), _BLOCKS))
+    turn = 0
+    while rounds is None or turn < rounds:
         asked = graph.mapInPandas(_ask(dim, n_blocks), _MESSAGE)
         replies = _cogroup(graph, asked, _reply(dim), _MESSAGE)
         offers = graph.mapInPandas(_offer(dim, n_blocks), _MESSAGE)
-        better = _cogroup(graph, replies.union(offers), _join(dim, n_blocks, k), _MESSAGE)
-        graph = store(_cogroup(graph, better, _update(dim, k), _BLOCKS))
+        better = _cogroup(graph, replies.union(offers), _join(dim, n_blocks, k, turn), _MESSAGE)
+        before, graph = graph, store(_cogroup(graph, better, _update(dim, k), _BLOCKS))
+        discard(before)
         seen = scalar_row(graph.mapInPandas(_share, "fresh long, n long"), f=F.sum("fresh"), n=F.sum("n"))
-        if (seen["f"] or 0) < STOP_SHARE * (seen["n"] or 1):
+        if (seen["f"] or 0) <= STOP_SHARE * (seen["n"] or 0):
             break
+        turn += 1
     return graph
 
 
 # ---------------------------------------------------------------- the search
 
 
-def _reverse(dim: int, n_blocks: int) -> Callable:
+def _reverse(dim: Layout, n_blocks: int) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.to_dict("records"):
@@ -364,8 +395,8 @@ def _reverse(dim: int, n_blocks: int) -> Callable:
     return run
 
 
-def _edges(dim: int) -> Callable:
-    """Edges of a block: own neighbours and the nearest ``MAX_REVERSE`` of those that chose a node."""
+def _edges(dim: Layout) -> Callable:
+    """Edges of a block: own neighbours and the nearest ``REVERSE`` of those that chose a node."""
 
     def run(blocks: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         columns = ["block", "ids", "vecs", "ends", "edges"]
@@ -375,7 +406,7 @@ def _edges(dim: int) -> Callable:
         p = np.concatenate([np.zeros(0, np.int64), *(np.searchsorted(b.ids, _i64(m)) for m in mail["a"])]).astype(np.int64)
         q = np.concatenate([np.zeros(0, np.int64), *(_i64(m) for m in mail["b"])])
         d = np.concatenate([np.zeros(0), *(_f64(m) for m in mail["v"])])
-        p, q, _ = _best(p, q, d, MAX_REVERSE)
+        p, q, _ = _best(p, q, d, REVERSE)
         at, place = np.nonzero(b.near != _NONE)
         p, q = np.concatenate([p, at]), np.concatenate([q, b.near[at, place]])
         order = np.lexsort((q, p))
@@ -391,7 +422,7 @@ def _edges(dim: int) -> Callable:
 _STATE = "node long, vec binary, ids binary, dist binary, done binary, open long"
 
 
-def _frontier(n_blocks: int) -> Callable:
+def _frontier(n_blocks: int, beam: int) -> Callable:
     """Per query and block: the unexpanded nodes of the beam (a), the bound (b), the query vector (v)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -399,7 +430,7 @@ def _frontier(n_blocks: int) -> Callable:
             out = []
             for row in batch.itertuples():
                 ids, done, dist = _i64(row.ids), np.frombuffer(row.done, np.uint8).astype(bool), _f64(row.dist)
-                bound = dist[-1] if len(dist) >= BEAM else np.inf
+                bound = dist[-1] if len(dist) >= beam else np.inf
                 todo = ids[~done]
                 for dst, own in _by_block(block_of(todo, n_blocks)) if len(todo) else ():
                     out.append([dst, row.node, todo[own].tobytes(), np.array([bound]).tobytes(), b"", row.vec])
@@ -425,21 +456,21 @@ def _expand(n_blocks: int) -> Callable:
     return run
 
 
-def _measure(dim: int) -> Callable:
-    """Squared distances of the reached nodes that beat the bound, best ``BEAM`` per message."""
+def _measure(dim: Layout, beam: int) -> Callable:
+    """Squared distances of the reached nodes that beat the bound, best ``beam`` per message."""
 
     def run(blocks: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         columns = ["node", "ids", "dist"]
         if not len(blocks):
             return pd.DataFrame([], columns=columns)
         row, out = blocks.iloc[0], []
-        ids, vecs = _i64(row["ids"]), np.frombuffer(row["vecs"], np.float32).reshape(-1, dim)
+        ids, vecs = _i64(row["ids"]), dim.vectors(row["vecs"])
         for node, own in mail.groupby("src"):
             reached = np.unique(np.concatenate([_i64(a) for a in own["a"]]))
-            diff = vecs[np.searchsorted(ids, reached)].astype(np.float64) - np.frombuffer(own["v"].iloc[0], np.float32).astype(np.float64)
+            diff = vecs[np.searchsorted(ids, reached)].astype(np.float64) - dim.vectors(own["v"].iloc[0]).astype(np.float64)
             d = (diff * diff).sum(1)
             ok = np.flatnonzero(d < _f64(own["b"].iloc[0])[0])
-            ok = ok[np.argsort(d[ok], kind="stable")[:BEAM]]
+            ok = ok[np.lexsort((reached[ok], d[ok]))[:beam]]
             if len(ok):
                 out.append([node, reached[ok].tobytes(), d[ok].tobytes()])
         return pd.DataFrame(out, columns=columns)
@@ -447,28 +478,36 @@ def _measure(dim: int) -> Callable:
     return run
 
 
-def _advance(state: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-    columns = ["node", "vec", "ids", "dist", "done", "open"]
-    if not len(state):
-        return pd.DataFrame([], columns=columns)
-    row = state.iloc[0]
-    held = _i64(row["ids"])
-    ids = np.concatenate([held, *(_i64(x) for x in found["ids"])])
-    dist = np.concatenate([_f64(row["dist"]), *(_f64(x) for x in found["dist"])])
-    done = np.arange(len(ids)) < len(held)  # what was held has been expanded by now
-    ids, first = np.unique(ids, return_index=True)  # the first of an id is the held one
-    dist, done = dist[first], done[first]
-    order = np.lexsort((ids, dist))[:BEAM]
-    ids, dist, done = ids[order], dist[order], done[order]
-    values = [row["node"], row["vec"], ids.tobytes(), dist.tobytes(), done.astype(np.uint8).tobytes(), int((~done).sum())]
-    return pd.DataFrame([values], columns=columns)
-
-
-def search_graph(graph: DataFrame, nodes: DataFrame, n: int, dim: int, block_nodes: int = BLOCK_NODES) -> DataFrame:
+def _advance(beam: int) -> Callable:
+    """Beams of one team of queries after a round."""
+
+    def run(state: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        came = dict(list(found.groupby("node")))
+        out = []
+        for row in state.itertuples():
+            new = came.get(row.node, found.iloc[:0])
+            held = _i64(row.ids)
+            ids = np.concatenate([held, *(_i64(x) for x in new["ids"])])
+            dist = np.concatenate([_f64(row.dist), *(_f64(x) for x in new["dist"])])
+            done = np.arange(len(ids)) < len(held)  # what was held has been expanded by now
+            ids, first = np.unique(ids, return_index=True)  # the first of an id is the held one
+            dist, done = dist[first], done[first]
+            order = np.lexsort((ids, dist))[:beam]
+            ids, dist, done = ids[order], dist[order], done[order]
+            out.append([row.node, row.vec, ids.tobytes(), dist.tobytes(), done.astype(np.uint8).tobytes(), int((~done).sum())])
+        return pd.DataFrame(out, columns=["node", "vec", "ids", "dist", "done", "open"])
+
+    return run
+
+
+def search_graph(
+    graph: DataFrame, nodes: DataFrame, n: int, dim: Layout, block_nodes: int = BLOCK_NODES, beam: int = BEAM
+) -> DataFrame:
     """(node, near, distance) of the beam around each distinct (node, vec) of ``nodes``.
 
-    A search starts at the node itself and ends when its beam of ``BEAM``
-    nodes is expanded.
+    A search starts at the node itself and ends when its beam of ``beam``
+    nodes is expanded, which it always comes to: every round expands all open
+    nodes, and a node enters a full beam only by being nearer.
     """
     n_blocks = max(1, -(-n // block_nodes))
     edges = store(
@@ -478,20 +517,22 @@ def search_graph(graph: DataFrame, nodes: DataFrame, n: int, dim: int, block_nod
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
-                "node": batch["node"], "vec": [np.asarray(v, np.float32).tobytes() for v in batch["vec"]],
+                "node": batch["node"], "vec": [np.asarray(v, dim.dtype).tobytes() for v in batch["vec"]],
                 "ids": [np.int64(i).tobytes() for i in batch["node"]], "dist": [np.zeros(1).tobytes()] * len(batch),
                 "done": [b"\0"] * len(batch), "open": 1,
             })
 
     state = store(nodes.select("node", "vec").mapInPandas(begin, _STATE))
-    for _ in range(MAX_SEARCH_ROUNDS):
-        if not (scalar_row(state, n=F.sum("open"))["n"] or 0):
-            break
+    while scalar_row(state, n=F.sum("open"))["n"]:
         going = state.filter("open > 0")
-        reached = _cogroup(edges.select("block", "ids", "ends", "edges"), going.mapInPandas(_frontier(n_blocks), _MESSAGE), _expand(n_blocks), _MESSAGE)
-        found = _cogroup(edges.select("block", "ids", "vecs"), reached, _measure(dim), "node long, ids binary, dist binary")
-        moved = going.groupBy("node").cogroup(found.groupBy("node")).applyInPandas(_advance, _STATE)
-        state = store(moved.union(state.filter("open = 0")))
+        reached = _cogroup(
+            edges.select("block", "ids", "ends", "edges"), going.mapInPandas(_frontier(n_blocks, beam), _MESSAGE), _expand(n_blocks), _MESSAGE
+        )
+        found = _cogroup(edges.select("block", "ids", "vecs"), reached, _measure(dim, beam), "node long, ids binary, dist binary")
+        teams = [x.groupBy(F.floor(F.col("node") / _TEAM).alias("team")) for x in (going, found)]
+        moved = teams[0].cogroup(teams[1]).applyInPandas(_advance(beam), _STATE)
+        before, state = state, store(moved.union(state.filter("open = 0")))
+        discard(before)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -504,7 +545,7 @@ def search_graph(graph: DataFrame, nodes: DataFrame, n: int, dim: int, block_nod
 
 def nearest(
     embeddings: DataFrame, n_neighbours: int = 10, every: int = 100, id_col: str = "vec_id", vec_col: str = "embedding",
-    k: int = K, rounds: int = MAX_ROUNDS, block_nodes: int = BLOCK_NODES,
+    k: int = K, rounds: int | None = None, block_nodes: int = BLOCK_NODES, beam: int = BEAM,
 ) -> DataFrame:
     """The nearest rows found of every row whose id is divisible by ``every``.
 
@@ -513,29 +554,32 @@ def nearest(
     where there are fewer candidates. Null ids, and vectors that are null,
     zero, or hold null or non-finite components take no part, nor do vectors
     of another length than the most frequent one (the smaller of two equally
-    frequent). Equal vectors are one node of the graph, and its rows come back
+    frequent). A column of floats is compared as floats, any other as doubles;
+    distances are in double precision. Equal vectors are one node of the graph, and its rows come back
     at distance 0 of each other. An empty table gives no rows; extra columns
     are not read.
     """
-    rows = embeddings.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast("array<float>").alias("vec"))
+    single = isinstance(getattr(embeddings.schema[vec_col].dataType, "elementType", None), T.FloatType)
+    item, dtype = ("float", np.float32) if single else ("double", np.float64)
+    rows = embeddings.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast(f"array<{item}>").alias("vec"))
     usable = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
-    rows = store(rows.filter(F.col("id").isNotNull() & usable).select("id", F.transform("vec", lambda x: x + F.lit(0).cast("float")).alias("vec")))
+    rows = store(rows.filter(F.col("id").isNotNull() & usable).select("id", F.transform("vec", lambda x: x + F.lit(0).cast(item)).alias("vec")))
     sizes = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").limit(1).collect()
-    dim = sizes[0]["dim"] if sizes else 1
-    rows = rows.filter(F.size("vec") == dim)
+    dim = Layout(sizes[0]["dim"] if sizes else 1, dtype)
+    rows = rows.filter(F.size("vec") == dim.dim)
     # The first n + 1 ids of a vector are all that a list of n neighbours can need.
     ranked = Window.partitionBy("vec").orderBy("id")
     first = rows.withColumn("place", F.row_number().over(ranked)).filter(F.col("place") <= n_neighbours + 1)
     classes = store(first.groupBy("vec").agg(F.min("id").alias("node"), F.array_sort(F.collect_list("id")).alias("members")))
     n = scalar_row(classes, n=F.count(F.lit(1)))["n"]
-    graph = build_graph(classes, n, dim, k, rounds, block_nodes)
+    graph = build_graph(classes, n, dim, max(k, n_neighbours), rounds, block_nodes)
     asked = store(rows.filter(F.col("id") % every == 0).join(classes.select("vec", "node"), "vec").select("id", "node"))
     starts = classes.join(asked.select("node").distinct(), "node", "left_semi").select("node", "vec")
-    beam = search_graph(graph, starts, n, dim, block_nodes)
+    reached = search_graph(graph, starts, n, dim, block_nodes, max(beam, 2 * n_neighbours))
     order = Window.partitionBy("node").orderBy("distance", "vec_id")
     members = classes.select(F.col("node").alias("near"), "members")
     listed = (
-        beam.join(members, "near").select("node", "distance", F.explode("members").alias("vec_id"))
+        reached.join(members, "near").select("node", "distance", F.explode("members").alias("vec_id"))
         .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= n_neighbours + 1)
         .groupBy("node").agg(F.array_sort(F.collect_list(F.struct("distance", "vec_id"))).alias("found"))
     )
