@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import discard, scalar_row, store
 
 K, SAMPLE, BLOCK_NODES = 24, 12, 2048
-BEAM, REVERSE = 100, 48
+BEAM, REVERSE = 256, 48
 STOP_SHARE = 0.02
 _CHUNK = 256
 _TEAM = 4096  # a range of node ids whose beams move together
@@ -242,6 +242,8 @@ def _join(dim: Layout, n_blocks: int, k: int, turn: int) -> Callable:
         parts = [_read_vectors(v, dim) for v in mail["v"]] or [_read_vectors(_vectors(b, np.arange(0)), dim)]
         ids, first = np.unique(np.concatenate([p[0] for p in parts]), return_index=True)
         bound = np.concatenate([p[1] for p in parts])[first]
+        if not len(ids):  # no node has neighbours
+            return _messages([])
         vecs = np.concatenate([p[2] for p in parts])[first].astype(np.float64)
         fresh, old = b.sampled(SAMPLE)
         at, place = np.nonzero(fresh)

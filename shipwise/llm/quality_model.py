@@ -183,9 +183,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
     return scored(rows.mapInArrow(lean(_score(fit_quality(docs, labels))), "doc_id long, score double"), threshold)
 
 
-def keep_scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score reaches the threshold, all columns kept."""
-    model = fit_quality(docs, labels)
+def keep_scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, labelled: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` whose score reaches the threshold, all columns kept.
+
+    The score is learned from the rows of ``labelled`` (where not given, of
+    ``docs``) that have labels. Rows with a null id are scored like others; null
+    and empty texts get the score of an empty passage; of repeated rows all stay
+    or all go. Without both labels every row stays, and an empty table gives none.
+    """
+    model = fit_quality(docs if labelled is None else labelled, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

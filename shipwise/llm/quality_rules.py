@@ -158,7 +158,11 @@ def quality_rules(
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns only."""
+    """The rows of ``docs`` that the rules keep, with their own columns only.
+
+    Null, empty and wordless texts go. Ids aren't looked at, so rows with null
+    ids and repeated rows are judged each; an empty table gives no rows.
+    """
     judged = quality_metrics(docs.select(F.struct("*").alias("row")).select("row", F.col(f"row.`{text_col}`").alias("text")), "text", keep=["row"])
     q = F.col("quality")
     base = (q["n_words"] < 20) | (F.lit(100) * q["n_repeat_words"] > F.lit(30) * q["n_words"])

@@ -35,6 +35,11 @@ LOOKS_LIKE = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "#": "h", "%": "x",
 }
+# Letters of other scripts that look like a Latin one.
+LETTER_LOOKS = {
+    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ѕ": "s", "ј": "j",
+    "ο": "o", "α": "a", "ι": "i", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "κ": "k",
+}
 MASKS = "*#_?"  # may stand for any letter
 # Channel costs in nats. A sign that looks like a letter seldom stands for
 # nothing, at a word's edge more often; a gap ends a word among letters spelled
@@ -54,7 +59,11 @@ _RUNS = re.compile(r"(.)\1\1")
 _SIGN = "[" + re.escape(SIGNS) + "]"
 _SIGNED = rf"{_SIGN}(?:\p{{L}}|{_SIGN})|\p{{L}}{_SIGN}"
 _READABLE = r"[\p{L}" + re.escape("".join(LOOKS_LIKE)) + "]"
-_SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_]|[0-9@$!|])(?:[ \t]+(?:[^\W_]|[@$!|*])){2,}(?!\S)")
+_CROSSED = "[" + "".join(LETTER_LOOKS) + "]"
+# Single letters and signs that may be letters, between any white space; the first no mask.
+_SPELLED = re.compile(
+    r"(?<!\S)(?:[^\W_]|[" + re.escape("".join(LOOKS_LIKE)) + r"])(?:\s+(?:[^\W_]|" + _SIGN + r")){2,}(?!\S)"
+)
 
 
 # ----------------------------------------------------------- character model
@@ -86,13 +95,14 @@ def _plain_words(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _disguised(distinct: pa.Array) -> np.ndarray:
-    """Words that hold signs or digits too, or a letter three times in a row.
+    """Words that hold signs or digits too, letters of another script among Latin ones, or a letter three times in a row.
 
     A word without a letter counts if it has signs that may stand for letters
     side by side.
     """
     mixed = pc.and_(pc.match_substring_regex(distinct, r"\p{L}"), pc.match_substring_regex(distinct, r"[^\p{L}\p{M}]"))
-    return pc.or_(pc.or_(mixed, _signed(distinct)), pc.match_substring_regex(distinct, _RUN)).to_numpy(zero_copy_only=False)
+    crossed = pc.and_(pc.match_substring_regex(distinct, _CROSSED), pc.match_substring_regex(distinct, "[a-z]"))
+    return pc.or_(pc.or_(pc.or_(mixed, crossed), _signed(distinct)), pc.match_substring_regex(distinct, _RUN)).to_numpy(zero_copy_only=False)
 
 
 def _signed(distinct: pa.Array) -> pa.Array:
@@ -158,6 +168,8 @@ def _options(word: str, inner: bool = False) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             run = k > 0 and word[k - 1] == c and c * 3 in word[max(0, k - 2) : k + 2]
             out.append([(c, 0.0), ("", SQUEEZE)] if run else [(c, 0.0)])
+            if c in LETTER_LOOKS:
+                out[-1].append((LETTER_LOOKS[c], SUBSTITUTE))
             continue
         like = LOOKS_LIKE.get(c, "")
         vanish = LOST if like else VANISH
@@ -292,7 +304,7 @@ class Restorer:
             if more:
                 out_codes.append(np.array([m[0] for m in more]))
                 out_owner.append(np.array([m[1] for m in more]))
-        spelled = pc.match_substring_regex(texts.fill_null(""), r"(^|\s)[^\s][ \t]+[^\s][ \t]+[^\s](\s|$)")
+        spelled = pc.match_substring_regex(texts.fill_null(""), r"(^|\s)[^\s]\s+[^\s]\s+[^\s](\s|$)")
         for i in np.flatnonzero(spelled.to_numpy(zero_copy_only=False)):
             for found in _SPELLED.finditer(texts[int(i)].as_py()):
                 letters = "".join(found.group().split()).lower()
@@ -307,7 +319,7 @@ class Restorer:
 
     def _read(self, word: str, spelled: bool) -> tuple[str, ...]:
         ended: dict[str, None] = {}
-        n = next((k for k, c in enumerate(word) if not c.isalpha()), 0)
+        n = next((k for k, c in enumerate(word) if not c.isalpha() or c in LETTER_LOOKS), 0)
         if n and len(word) <= MAX_CACHED and not spelled and not _RUNS.search(word, 0, n):
             start = tuple(_CLASS.get(c, N_CLASSES - 1) for c in word[max(0, n - 2) : n])
             rest = [word[:n] + t for t in self._tails(word[n:], (0, 0, *start)[-2:])]

@@ -171,6 +171,19 @@ def test_signs_at_word_edges_are_read_as_letters(seen, want):
     assert {words[c] for c, o in zip(codes, owner, strict=True) if o == 0} == {"the", "ring"}
 
 
+SPELLED = [("s h i +", "shit"), ("# a t e", "hate"), ("i d i 0 +", "idiot"), ("i d\ni o\tt", "idiot"), ("ѕtupіd", "stupid"), ("lоser", "loser")]
+
+
+@pytest.mark.parametrize(("seen", "want"), SPELLED)
+def test_spelled_signs_line_breaks_and_look_alikes_are_read(seen, want):
+    clean = ["loser", "shit", "hate", "idiot", "stupid", "fate", "the", "and", "ring", "nation"]
+    restorer = Restorer(CharModel(_trigrams(clean, np.full(len(clean), 50))))
+    words, codes, _ = restorer.words(pa.array([f"the ring {seen}"]))
+    assert want in {words[c] for c in codes}
+    words, codes, _ = restorer.words(pa.array(["слово ring"]))  # a word of one script stands for itself
+    assert {words[c] for c in codes} == {"слово", "ring"}
+
+
 def test_masked_word_ends_are_read_as_letters():
     model = CharModel(_trigrams(["fool", "the", "and"], np.array([50, 50, 50])))
     assert restore("f***", model)[0] == "fool"
@@ -231,6 +244,27 @@ def test_recall_over_several_blocks(spark):
         assert r.score == pytest.approx(float(np.sqrt(((x[r.query_id].astype(float) - x[r.vec_id]) ** 2).sum())), rel=1e-12)
 
 
+def test_the_descent_finds_the_neighbours(spark):
+    """Random lists alone don't lead there, in one block or in many; the descent does, on doubles too."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").cache()
+    want = {}
+    for q in range(0, 3000, 60):
+        d = np.sqrt(((x[q] - x) ** 2).sum(1))
+        want[q] = set(np.argsort(d, kind="stable")[1:11].tolist())
+
+    def recall(**how):
+        got = nearest(frame, every=60, k=12, beam=20, **how).collect()
+        assert all(r.score == np.sqrt(((x[r.query_id] - x[r.vec_id]) ** 2).sum()) for r in got)
+        return sum(r.vec_id in want[r.query_id] for r in got) / 500
+
+    for block_nodes in (250, 5000):
+        assert recall(rounds=0, block_nodes=block_nodes) < 0.6
+        assert recall(block_nodes=block_nodes) >= 0.9
+
+
 def test_search_edges(spark):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (200, [0.0, 2.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [3.0, 0.0]), (4, [-1.0, 0.0]),
             (5, None), (6, []), (7, [0.0, 0.0]), (300, [0.0, -0.0]), (400, [float("nan"), 1.0]), (8, [None, 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 1.0])]
