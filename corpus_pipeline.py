@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shipwise.llm.common import read_table, store
+from shipwise.llm.common import discard, read_table, store
 from shipwise.llm.packing import pack
 from shipwise.llm.quality_model import keep_scored
 from shipwise.llm.quality_rules import keep_quality
@@ -24,22 +24,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a quality score of 0.3 or more, learned from the labels of those still here."""
-    return keep_scored(docs, read_table(spark, sf_dir, "labels"), threshold=0.3)
+    """Documents with a quality score of 0.3 or more.
+
+    The score is learned from all labelled documents of ``sf_dir``, also those
+    the rules rejected. Null ids and texts, and repeated rows, are scored like any
+    other row; without both labels all stay.
+    """
+    documents, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return keep_scored(docs, labels, threshold=0.3, labelled=documents)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one of the smallest doc_id."""
+    """One document of each group of near-duplicates, the one of the smallest doc_id.
+
+    Documents without words are near-duplicates of each other. Rows of one id and
+    text stay once, rows with a null id once for each text.
+    """
     return keep_one_per_component(docs, n_words=4, radius=4)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the 13-word windows that a document of a smaller doc_id holds."""
+    """Documents without the 13-word windows that a document of a smaller doc_id holds.
+
+    All rows stay, null texts as null. Rows with a null id neither remove nor lose
+    words, and rows of one doc_id don't remove each other's.
+    """
     return remove_repeats(docs, window=13)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens in sequences of 1024, as the packing query returns them."""
+    """Pieces of the documents' tokens in sequences of 1024, as the packing query returns them.
+
+    A null or empty text is its end token alone; repeated rows are packed each.
+    """
     return pack(docs, bpe_path(), size=1024, end_id=0)
 
 
@@ -58,7 +75,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), "pipeline")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
