@@ -136,3 +136,24 @@ def test_search_spaces_cover_both_tunable_models():
 def test_too_many_folds_raise():
     with pytest.raises(ValueError):
         O.fold_bounds(4, 4)
+
+
+@pytest.mark.parametrize("groups", [["g"], []])
+def test_ranges_of_scores_give_the_single_cell_metrics(spark, monkeypatch, groups):
+    """Groups of other sizes and scores, a null group, a score shared by many rows: one shuffle of the rows."""
+    rows = [(None if i % 10 == 9 else "ab"[i % 10 < 3], int(i * 7 % 10 < 3), 0.5 if i % 3 == 0 else (i * 37 % 101) / (101 if i % 10 < 3 else 400)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "g string, y int, p double")
+    single = {r[0]: r for r in M.average_precision_roc(df, groups).collect()}
+    monkeypatch.setattr(M, "DEFAULT_ROWS_PER_CELL", 50)
+    many = M.average_precision_roc(df, groups)
+    got = {r[0]: r for r in many.collect()}
+    if not groups:
+        assert [tuple(r) for r in got.values()] == [pytest.approx(tuple(r)) for r in single.values()]
+        return
+    assert set(got) == set(single) == {"a", "b", None}
+    for g in got:
+        assert tuple(got[g])[1:] == pytest.approx(tuple(single[g])[1:])
+    cells = M.threshold_table(df, groups)
+    assert cells.count() == df.select("g", "p").distinct().count()
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "SortMergeJoin" not in plan

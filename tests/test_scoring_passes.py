@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from shipwise.ml import importance as IM
+from shipwise.ml import models as MD
 from shipwise.ml.calibration import CalibratedEnsemble, SigmoidMap
 from shipwise.ml.importance import permutation_importance, shift
 from shipwise.operators.cohorts import rate_and_lift
@@ -62,3 +65,26 @@ def test_base_rate_of_the_lift_counts_null_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 0), (None, 0), (None, 0)], "k string, is_late int")
     rows = rate_and_lift(df, "k").collect()
     assert [(r["k"], r["orders"], r["late_rate"], r["lift_vs_base"]) for r in rows] == [("a", 2, 0.5, 2.0)]
+
+
+@pytest.mark.parametrize("name", ["random_forest", "hist_gradient_boosting"])
+def test_copies_of_a_block_equal_joined_copies(spark, monkeypatch, name):
+    columns = [f"CAST(CASE WHEN id % 11 <> {k} THEN id * {k + 3} % {5 + 3 * k} END AS DOUBLE) AS {c}" for k, c in enumerate(MD.FEATURES[:-3])]
+    columns += [f"CASE WHEN id % 13 <> {k} THEN CAST(id * 5 % {4 + k} AS STRING) END AS {c}" for k, c in enumerate(MD.FEATURES[-3:])]
+    rows = spark.range(330).selectExpr("CASE WHEN id % 50 <> 7 THEN id % 300 END AS order_id", "CAST(id * 7 % 10 < 3 AS INT) AS is_late", *columns)
+    small = {"random_forest": {"model__n_estimators": 6}, "hist_gradient_boosting": {"model__max_iter": 6}}[name]
+    fitted = MD.fit_model(name, rows, small)
+    features = ["estimated_delivery_days", "customer_state", "item_count"]
+    rows = rows.where("order_id IS NOT NULL").dropDuplicates(["order_id"])  # one order of positions for both
+    monkeypatch.setattr(IM, "BLOCK_ROWS", 64)
+    kinds = []
+    for kind in ("_tree_copies", "_joined_copies"):
+        monkeypatch.setattr(IM, kind, lambda *a, plain=getattr(IM, kind), kind=kind: kinds.append(kind) or plain(*a))
+    blocks = {r["feature"]: r for r in permutation_importance(fitted, rows, features, repeats=3).collect()}
+    any_score = SimpleNamespace(score=fitted.score)
+    joined = {r["feature"]: r for r in permutation_importance(any_score, rows, features, repeats=3).collect()}
+    assert kinds == ["_tree_copies", "_joined_copies"]
+    assert set(blocks) == set(features)
+    for f in features:
+        assert blocks[f]["importance_mean"] == pytest.approx(joined[f]["importance_mean"], abs=1e-12)
+        assert blocks[f]["importance_std"] == pytest.approx(joined[f]["importance_std"], abs=1e-12)
