@@ -33,6 +33,7 @@ def write_raw_csv(ctx: Ctx, out_dir: str) -> None:
             .write.mode("overwrite")
             .option("header", True)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+            .option("compression", "gzip")  # text of repeated digits: a fraction of its size on disk
             .csv(f"{out_dir}/{spec.file_name}")
         )
 
