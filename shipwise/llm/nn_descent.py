@@ -10,7 +10,9 @@ block of its node. All exchanges are Spark shuffles of messages from block to
 block. The descent is the same at every size and ends when few entries are new.
 Queries then walk the graph greedily, all at once: a round sends each
 query's best unexpanded nodes to the blocks that hold their edges, the
-neighbours to the blocks that hold their vectors, and the distances back.
+neighbours to the blocks that hold their vectors, and the distances back to the
+team of the query, its home block's number. One message holds all that goes from
+one block or team to another, for any number of queries.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ K, SAMPLE, BLOCK_NODES = 24, 12, 2048
 BEAM, REVERSE = 256, 48
 STOP_SHARE = 0.02
 _CHUNK = 256
-_TEAM = 4096  # a range of node ids whose beams move together
+_PAIRS = 65_536  # (query, node) pairs measured at a time
 _BLOCKS = "block long, ids binary, vecs binary, near binary, dist binary, fresh binary"
 _MESSAGE = "dst long, src long, a binary, b binary, c binary, v binary"
 _NONE = np.int64(-(2**63))  # an empty place of a neighbour list
@@ -421,61 +423,97 @@ def _edges(dim: Layout) -> Callable:
     return run
 
 
-_STATE = "node long, vec binary, ids binary, dist binary, done binary, open long"
+_STATE = "team long, node long, vec binary, ids binary, dist binary, done binary, open long"
+_FOUND = "team long, node binary, ids binary, dist binary"
 
 
-def _frontier(n_blocks: int, beam: int) -> Callable:
-    """Per query and block: the unexpanded nodes of the beam (a), the bound (b), the query vector (v)."""
+def _packed(dst: int, src: int, node: np.ndarray, bound: np.ndarray, vecs: np.ndarray, query: np.ndarray, ids: np.ndarray) -> list:
+    """One message on many queries (a: node ids of one query after the other, b: bounds, c: queries and their counts, v: vectors).
+
+    ``query``, ascending, gives the row in ``node``, ``bound`` and ``vecs`` that each of ``ids`` is for.
+    """
+    rows, counts = np.unique(query, return_counts=True)
+    heads = np.stack([node[rows], counts.astype(np.int64)])
+    return [dst, src, ids.tobytes(), bound[rows].tobytes(), heads.tobytes(), vecs[rows].tobytes()]
+
+
+def _unpacked(mail: pd.DataFrame, dim: Layout) -> tuple[np.ndarray, ...]:
+    """Queries, bounds, vectors, and the (row, node id) pairs of packed messages; a query has a row for each message on it."""
+    heads = [_i64(c).reshape(2, -1) for c in mail["c"]]
+    node, counts = np.concatenate([np.zeros((2, 0), np.int64), *heads], 1)
+    bound = np.concatenate([np.zeros(0), *map(_f64, mail["b"])])
+    vecs = np.concatenate([np.zeros((0, dim.dim), dim.dtype), *map(dim.vectors, mail["v"])])
+    ids = np.concatenate([np.zeros(0, np.int64), *map(_i64, mail["a"])])
+    return node, bound, vecs, np.repeat(np.arange(len(node)), counts), ids
+
+
+def _distinct_pairs(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Places of the first of each distinct (p, q), in their order."""
+    order = np.lexsort((q, p))
+    return order[np.concatenate([[True], (np.diff(p[order]) != 0) | (np.diff(q[order]) != 0)])] if len(p) else order
+
+
+def _frontier(dim: Layout, n_blocks: int, beam: int) -> Callable:
+    """The unexpanded nodes of the beams, packed by block."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for row in batch.itertuples():
-                ids, done, dist = _i64(row.ids), np.frombuffer(row.done, np.uint8).astype(bool), _f64(row.dist)
-                bound = dist[-1] if len(dist) >= beam else np.inf
-                todo = ids[~done]
-                for dst, own in _by_block(block_of(todo, n_blocks)) if len(todo) else ():
-                    out.append([dst, row.node, todo[own].tobytes(), np.array([bound]).tobytes(), b"", row.vec])
-            yield _messages(out)
+            dist = [_f64(x) for x in batch["dist"]]
+            bound = np.array([d[-1] if len(d) >= beam else np.inf for d in dist])
+            todo = [_i64(i)[np.frombuffer(d, np.uint8) == 0] for i, d in zip(batch["ids"], batch["done"], strict=True)]
+            query = np.repeat(np.arange(len(todo)), [len(t) for t in todo])
+            ids = np.concatenate([np.zeros(0, np.int64), *todo])
+            node, vecs = batch["node"].to_numpy(np.int64), dim.vectors(b"".join(batch["vec"]))
+            yield _messages([_packed(dst, -1, node, bound, vecs, query[own], ids[own]) for dst, own in _by_block(block_of(ids, n_blocks))])
 
     return run
 
 
-def _expand(n_blocks: int) -> Callable:
+def _expand(dim: Layout, n_blocks: int) -> Callable:
+    """The ends of the edges of the nodes asked for, packed by block."""
+
     def run(blocks: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
         if not len(blocks):
             return _messages([])
-        row, out = blocks.iloc[0], []
+        row = blocks.iloc[0]
         ids, ends, edges = _i64(row["ids"]), _i64(row["ends"]), _i64(row["edges"])
-        for m in mail.itertuples():
-            at = np.searchsorted(ids, _i64(m.a))
-            reached = np.unique(np.concatenate([edges[ends[i] : ends[i + 1]] for i in at] or [np.zeros(0, np.int64)]))
-            reached = reached[reached != m.src]
-            for dst, own in _by_block(block_of(reached, n_blocks)) if len(reached) else ():
-                out.append([dst, m.src, reached[own].tobytes(), m.b, b"", m.v])
-        return _messages(out)
+        node, bound, vecs, query, wanted = _unpacked(mail, dim)
+        at = np.searchsorted(ids, wanted)
+        counts = ends[at + 1] - ends[at]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        query, reached = np.repeat(query, counts), edges[np.repeat(ends[at], counts) + within]
+        other = np.flatnonzero(reached != node[query])
+        other = other[_distinct_pairs(query[other], reached[other])]
+        query, reached = query[other], reached[other]
+        return _messages([
+            _packed(dst, row["block"], node, bound, vecs, query[own], reached[own]) for dst, own in _by_block(block_of(reached, n_blocks))
+        ])
 
     return run
 
 
-def _measure(dim: Layout, beam: int) -> Callable:
-    """Squared distances of the reached nodes that beat the bound, best ``beam`` per message."""
+def _measure(dim: Layout, n_blocks: int, beam: int) -> Callable:
+    """Squared distances of the reached nodes that beat the bound, best ``beam`` per query, packed by team."""
 
     def run(blocks: pd.DataFrame, mail: pd.DataFrame) -> pd.DataFrame:
-        columns = ["node", "ids", "dist"]
+        columns = ["team", "node", "ids", "dist"]
         if not len(blocks):
             return pd.DataFrame([], columns=columns)
-        row, out = blocks.iloc[0], []
-        ids, vecs = _i64(row["ids"]), dim.vectors(row["vecs"])
-        for node, own in mail.groupby("src"):
-            reached = np.unique(np.concatenate([_i64(a) for a in own["a"]]))
-            diff = vecs[np.searchsorted(ids, reached)].astype(np.float64) - dim.vectors(own["v"].iloc[0]).astype(np.float64)
-            d = (diff * diff).sum(1)
-            ok = np.flatnonzero(d < _f64(own["b"].iloc[0])[0])
-            ok = ok[np.lexsort((reached[ok], d[ok]))[:beam]]
-            if len(ok):
-                out.append([node, reached[ok].tobytes(), d[ok].tobytes()])
-        return pd.DataFrame(out, columns=columns)
+        row = blocks.iloc[0]
+        ids, own_vecs = _i64(row["ids"]), dim.vectors(row["vecs"])
+        node, bound, vecs, query, reached = _unpacked(mail, dim)
+        once = _distinct_pairs(node[query], reached)  # several blocks may send one pair
+        query, reached = query[once], reached[once]
+        at, d = np.searchsorted(ids, reached), np.empty(len(reached))
+        for lo in range(0, len(reached), _PAIRS):
+            pair = slice(lo, lo + _PAIRS)
+            diff = own_vecs[at[pair]].astype(np.float64) - vecs[query[pair]].astype(np.float64)
+            d[pair] = (diff * diff).sum(1)
+        near = d < bound[query]
+        p, q, d = _best(node[query[near]], reached[near], d[near], beam)
+        return pd.DataFrame(
+            [[team, p[own].tobytes(), q[own].tobytes(), d[own].tobytes()] for team, own in _by_block(block_of(p, n_blocks))], columns=columns
+        )
 
     return run
 
@@ -484,20 +522,23 @@ def _advance(beam: int) -> Callable:
     """Beams of one team of queries after a round."""
 
     def run(state: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        came = dict(list(found.groupby("node")))
+        node, near = (np.concatenate([np.zeros(0, np.int64), *map(_i64, found[c])]) for c in ("node", "ids"))
+        d = np.concatenate([np.zeros(0), *map(_f64, found["dist"])])
+        order = np.argsort(node, kind="stable")
+        node, near, d = node[order], near[order], d[order]
+        asked = state["node"].to_numpy(np.int64)
+        first, stop = np.searchsorted(node, asked), np.searchsorted(node, asked, "right")
         out = []
-        for row in state.itertuples():
-            new = came.get(row.node, found.iloc[:0])
+        for row, lo, hi in zip(state.itertuples(), first, stop, strict=True):
             held = _i64(row.ids)
-            ids = np.concatenate([held, *(_i64(x) for x in new["ids"])])
-            dist = np.concatenate([_f64(row.dist), *(_f64(x) for x in new["dist"])])
+            ids, dist = np.concatenate([held, near[lo:hi]]), np.concatenate([_f64(row.dist), d[lo:hi]])
             done = np.arange(len(ids)) < len(held)  # what was held has been expanded by now
-            ids, first = np.unique(ids, return_index=True)  # the first of an id is the held one
-            dist, done = dist[first], done[first]
+            ids, once = np.unique(ids, return_index=True)  # the first of an id is the held one
+            dist, done = dist[once], done[once]
             order = np.lexsort((ids, dist))[:beam]
             ids, dist, done = ids[order], dist[order], done[order]
-            out.append([row.node, row.vec, ids.tobytes(), dist.tobytes(), done.astype(np.uint8).tobytes(), int((~done).sum())])
-        return pd.DataFrame(out, columns=["node", "vec", "ids", "dist", "done", "open"])
+            out.append([row.team, row.node, row.vec, ids.tobytes(), dist.tobytes(), done.astype(np.uint8).tobytes(), int((~done).sum())])
+        return pd.DataFrame(out, columns=["team", "node", "vec", "ids", "dist", "done", "open"])
 
     return run
 
@@ -519,7 +560,7 @@ def search_graph(
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
-                "node": batch["node"], "vec": [np.asarray(v, dim.dtype).tobytes() for v in batch["vec"]],
+                "team": block_of(batch["node"].to_numpy(np.int64), n_blocks), "node": batch["node"], "vec": [np.asarray(v, dim.dtype).tobytes() for v in batch["vec"]],
                 "ids": [np.int64(i).tobytes() for i in batch["node"]], "dist": [np.zeros(1).tobytes()] * len(batch),
                 "done": [b"\0"] * len(batch), "open": 1,
             })
@@ -528,11 +569,10 @@ def search_graph(
     while scalar_row(state, n=F.sum("open"))["n"]:
         going = state.filter("open > 0")
         reached = _cogroup(
-            edges.select("block", "ids", "ends", "edges"), going.mapInPandas(_frontier(n_blocks, beam), _MESSAGE), _expand(n_blocks), _MESSAGE
+            edges.select("block", "ids", "ends", "edges"), going.mapInPandas(_frontier(dim, n_blocks, beam), _MESSAGE), _expand(dim, n_blocks), _MESSAGE
         )
-        found = _cogroup(edges.select("block", "ids", "vecs"), reached, _measure(dim, beam), "node long, ids binary, dist binary")
-        teams = [x.groupBy(F.floor(F.col("node") / _TEAM).alias("team")) for x in (going, found)]
-        moved = teams[0].cogroup(teams[1]).applyInPandas(_advance(beam), _STATE)
+        found = _cogroup(edges.select("block", "ids", "vecs"), reached, _measure(dim, n_blocks, beam), _FOUND)
+        moved = going.groupBy("team").cogroup(found.groupBy("team")).applyInPandas(_advance(beam), _STATE)
         before, state = state, store(moved.union(state.filter("open = 0")))
         discard(before)
 

@@ -8,6 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
+from shipwise.llm import nn_descent
 from shipwise.llm.nn_descent import nearest
 from shipwise.llm.quality_model import GatedAttention, keep_scored, quality_scores
 from shipwise.llm.sentence_pieces import PieceDecoder, PieceModel, piece_digests
@@ -265,6 +266,25 @@ def test_the_descent_finds_the_neighbours(spark):
         assert recall(block_nodes=block_nodes) >= 0.9
 
 
+def test_messages_of_the_search_dont_grow_with_queries_times_blocks(spark, monkeypatch):
+    """A step sends at most one row from a block to another one, however many queries pass there."""
+    x = np.random.default_rng(2).normal(size=(240, 4))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    sent, plain = {}, nn_descent._cogroup
+
+    def counted(blocks, mail, run, schema):
+        out = plain(blocks, mail, run, schema).cache()
+        step = run.__qualname__.split(".")[0]
+        sent[step] = max(sent.get(step, 0), out.count())
+        return out
+
+    monkeypatch.setattr(nn_descent, "_cogroup", counted)
+    got = nearest(frame, every=1, k=12, block_nodes=60, beam=20).collect()
+    assert len(got) == 2400
+    assert set(sent) >= {"_expand", "_measure"}
+    assert max(sent.values()) <= 16, sent  # 4 blocks
+
+
 def test_search_edges(spark):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (200, [0.0, 2.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [3.0, 0.0]), (4, [-1.0, 0.0]),
             (5, None), (6, []), (7, [0.0, 0.0]), (300, [0.0, -0.0]), (400, [float("nan"), 1.0]), (8, [None, 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 1.0])]
