@@ -13,6 +13,7 @@ from shipwise.ml import models as MD
 from shipwise.ml.calibration import CalibratedEnsemble, SigmoidMap
 from shipwise.ml.importance import permutation_importance, shift
 from shipwise.operators.cohorts import rate_and_lift
+from shipwise.operators.ordering import chronological_split
 
 
 class Margin:
@@ -88,3 +89,15 @@ def test_copies_of_a_block_equal_joined_copies(spark, monkeypatch, name):
     for f in features:
         assert blocks[f]["importance_mean"] == pytest.approx(joined[f]["importance_mean"], abs=1e-12)
         assert blocks[f]["importance_std"] == pytest.approx(joined[f]["importance_std"], abs=1e-12)
+
+
+def test_every_time_window_is_dealt_over_all_parts(spark):
+    """One task would score a whole fold otherwise."""
+    df = spark.range(400).select(F.col("id").alias("order_id"), F.expr("timestamp_seconds(id div 3)").alias("order_purchase_timestamp"))
+    plain = {r["order_id"]: (r["rank"], r["is_test"]) for r in chronological_split(df).collect()}
+    dealt = chronological_split(df, part_rows=40)
+    rows = dealt.withColumn("part", F.spark_partition_id()).collect()
+    assert {r["order_id"]: (r["rank"], r["is_test"]) for r in rows} == plain and len(rows) == 400
+    assert {r["part"] for r in rows} == set(range(10))
+    assert len({r["part"] for r in rows if r["is_test"]}) >= 8
+    assert len({r["part"] for r in rows if r["rank"] < 80}) >= 8
