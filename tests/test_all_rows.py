@@ -88,7 +88,7 @@ def test_boosters_by_passes_are_those_of_a_task(spark, train, monkeypatch, stop)
     ready = [MD.prepared(train), MD.prepared(train.where("rank < 1800"))]
     fits = [MD.Fit("hist_gradient_boosting", d, MD.settings("hist_gradient_boosting", dict(SMALL_BOOSTER, model__max_leaf_nodes=n))) for d, n in ((0, 7), (1, 15), (0, 2))]
     whole = [m.model.trees for m in MD.fit_all(spark, fits, ready)]
-    monkeypatch.setattr(G, "TASK_ROWS", 100)
+    monkeypatch.setattr(G, "BOOSTER_ROWS", 100)
     monkeypatch.setattr(G, "STATE_TREES", 3)
     monkeypatch.setattr(G, "PASS_LEAVES", 2)
     for a, b in zip(whole, [m.model.trees for m in MD.fit_all(spark, fits, ready)], strict=True):
